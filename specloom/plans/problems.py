@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.functions.instants import instant, instant_micros
-from specloom.operators import history, orphans, snapshots
+from specloom.operators import history, orphans, snapshots, units
 from specloom.tables import table
 
 
@@ -73,7 +73,21 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return p4_found(spark, d).groupBy("table_name", "run_id", "change_kind").agg(F.count(F.lit(1)).alias("n_records"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_current, p4_found, p4_report)}
+def _quantities(spark: SparkSession, d: str) -> DataFrame:
+    return units.quantities(table(spark, d, "vertiv"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return units.same_quantities(_quantities(spark, d))
+
+
+def p5_quantities(spark: SparkSession, d: str) -> DataFrame:
+    """Every measured cell in its common unit."""
+    q = _quantities(spark, d)
+    return q.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_current, p4_found, p4_report, p5_found, p5_quantities)}
 
 _P1_SQL = r"""
 WITH p AS (

@@ -256,6 +256,10 @@ def _read(dimension: pd.Series, expect: pd.Series, unit: pd.Series, condition: p
     return pd.DataFrame(out, columns=["low", "high", "unit", "unit_source"]).astype({"low": float, "high": float})
 
 
+# A filter on the result must not run the function a second time below the projection.
+_read = _read.asNondeterministic()
+
+
 @F.pandas_udf(T.StringType())
 def _dimension_of(unit: pd.Series, said: pd.Series, beside: pd.Series) -> pd.Series:
     """The dimension that the first readable of three spellings names; spellings of several dimensions name none."""
@@ -285,6 +289,8 @@ def field_dimensions(cells: DataFrame) -> DataFrame:
     return counted.groupBy("field").agg(F.max_by("dimension", F.struct("n", "dimension")).alias("dimension"))
 
 
+_dimension_of = _dimension_of.asNondeterministic()
+
 #: Bins of the fit: hundredths of a power of ten, or half degrees.
 _BIN = 0.01
 _DEGREE_BIN = 0.5

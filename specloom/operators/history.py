@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from specloom.functions.instants import instant_micros, utc_seconds_text
 from specloom.functions.keys import loose_key
+from specloom.session import cut
 
 #: Bookkeeping keys that are no content.
 BOOKKEEPING = ("observed_at", "generated_at", "checked_at", "map_change_status")
@@ -54,6 +55,10 @@ def content_hash(payload: pd.Series) -> pd.Series:
     return payload.map(content_hash_text, na_action="ignore").astype(object)
 
 
+# A filter on the result must not run the function a second time below the projection.
+content_hash = content_hash.asNondeterministic()
+
+
 def observations(df: DataFrame, key: str, version: str, time: str, payload: str) -> DataFrame:
     """``key, at, version``: version is the payload's content hash or, where the payload is null or unreadable, the stored version."""
     return df.select(
@@ -82,6 +87,8 @@ def type_two(obs: DataFrame, slice_days: int = SLICE_DAYS) -> DataFrame:
         F.col("before").isNull() | (F.col("before") != F.col("version"))
     )
     marks = marks.select("key", "slice", "at", "version", F.col("before").isNull().alias("is_first"), "slice_last", F.lead("at").over(in_slice).alias("next_in_slice"))
+    # Read twice below; written once, the observations are hashed and shuffled once.
+    marks = cut(marks)
     # One row per (key, slice): its first row knows the slice's last version and its first change.
     firsts = marks.where("is_first")
     by_slice = Window.partitionBy("key").orderBy("slice")

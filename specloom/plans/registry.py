@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from specloom.plans import problems
+from specloom.plans import catalog, crawl, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLE = {**problems.ORACLE}
+QUERIES = {**problems.QUERIES, **crawl.QUERIES, **catalog.QUERIES}
+ORACLE = {**problems.ORACLE, **crawl.ORACLE, **catalog.ORACLE}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from specloom.plans import catalog, crawl, problems
+from specloom.plans import catalog, crawl, flow, problems
 
-QUERIES = {**problems.QUERIES, **crawl.QUERIES, **catalog.QUERIES}
-ORACLE = {**problems.ORACLE, **crawl.ORACLE, **catalog.ORACLE}
+QUERIES = {**problems.QUERIES, **crawl.QUERIES, **catalog.QUERIES, **flow.QUERIES}
+ORACLE = {**problems.ORACLE, **crawl.ORACLE, **catalog.ORACLE, **flow.ORACLE}

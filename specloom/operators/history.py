@@ -113,9 +113,11 @@ def merge_type_two(dimension: DataFrame, batch: DataFrame, log: DataFrame, slice
     against their open row alone. Entities with late observations are rebuilt from the log, as an open row does not
     tell where inside it the old version was seen.
     """
-    batch = batch.where("key IS NOT NULL AND at IS NOT NULL AND version IS NOT NULL")
+    # Only the named columns, so that further ones cannot clash.
+    dimension = dimension.select("key", "version", "valid_from", "valid_to")
+    batch, log = (d.select("key", "at", "version").where("key IS NOT NULL AND at IS NOT NULL AND version IS NOT NULL") for d in (batch, log))
     first = batch.groupBy("key").agg(F.min("at").alias("first_at"))
-    latest = log.where("at IS NOT NULL AND version IS NOT NULL").groupBy("key").agg(F.max("at").alias("latest_at"))
+    latest = log.groupBy("key").agg(F.max("at").alias("latest_at"))
     touched = first.join(latest, "key", "left").select("key", (F.coalesce(F.col("latest_at"), F.lit(-(2**62))) >= F.col("first_at")).alias("late"))
     tagged = dimension.join(touched, "key", "left")
     kept = tagged.where("late IS NULL OR (NOT late AND valid_to IS NOT NULL)").select("key", "version", "valid_from", "valid_to")

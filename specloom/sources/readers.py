@@ -19,8 +19,10 @@ def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """Rows and rejected lines of JSON-lines files."""
-    raw = spark.read.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return raw.where("_corrupt IS NULL").drop("_corrupt"), raw.where("_corrupt IS NOT NULL").select("_corrupt")
+    parsed = F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    raw = spark.read.text(path).where("trim(value) <> ''").select("value", parsed.alias("row"))
+    good = raw.where("row IS NOT NULL AND row._corrupt IS NULL").select("row.*").drop("_corrupt")
+    return good, raw.where("row IS NULL OR row._corrupt IS NOT NULL").select("value")
 
 
 def delimited(spark: SparkSession, path: str, schema: str, separator: str = "\t") -> DataFrame:

@@ -36,6 +36,8 @@ SEED = 17
 
 _ROUNDS = 12
 _PASSING = 1e-4  # weight of subjects outside a document's reviewed ones; more lets a rare subject collect what fits none
+_SENTENCES_COUNTED = 10
+_LIFT = 2.0
 _SMOOTH = 60.0  # terms of the mean class added to each class, so that a rare class doesn't claim unseen terms
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -177,12 +179,23 @@ def fit_terms(texts: list[str], labels: list[set[str]], subjects: list[str], sou
     sentence_of = np.repeat(np.arange(len(starts)), lengths)
     allowed = allowed / allowed.sum(1, keepdims=True)
     post = allowed[owner] if len(owner) else np.zeros((0, k))
+    # A long document counts as some sentences only, else one with a wrong review makes up a rare subject.
+    weight = np.minimum(1, _SENTENCES_COUNTED / np.maximum(np.bincount(owner, minlength=len(texts)), 1))[owner][:, None] if len(owner) else np.zeros((0, 1))
     weights, prior = np.zeros((len(vocabulary), k)), np.full(k, 1 / k)
+    # A term speaks for a subject only if it is more frequent among the subject's documents than among the others.
+    known = np.array([[s in names for s in subjects] for names in labels], float).reshape(len(texts), len(subjects))
+    pairs = np.unique(owner[sentence_of] * max(len(vocabulary), 1) + ids) if len(ids) else np.zeros(0, np.int64)
+    doc_of, term_of = np.divmod(pairs, max(len(vocabulary), 1))
+    inside = np.stack([np.bincount(term_of, known[doc_of, c], len(vocabulary)) for c in range(len(subjects))], 1) if len(pairs) else np.zeros((len(vocabulary), len(subjects)))
+    outside = np.bincount(term_of, minlength=len(vocabulary))[:, None] - inside
+    lift = ((inside + 0.1) / (known.sum(0) + 1)) / ((outside + 0.1) / ((1 - known).sum(0) + 1))
+    mute = np.hstack([lift < _LIFT, np.zeros((len(vocabulary), 1), bool)])
     for _ in range(_ROUNDS):
-        counts = np.stack([np.bincount(ids, post[sentence_of, c], len(vocabulary)) for c in range(k)], 1) if len(ids) else np.zeros((len(vocabulary), k))
+        counts = np.stack([np.bincount(ids, (post * weight)[sentence_of, c], len(vocabulary)) for c in range(k)], 1) if len(ids) else np.zeros((len(vocabulary), k))
         mean = (counts.sum(1, keepdims=True) + 1e-3) / (counts.sum() + 1e-3 * max(len(vocabulary), 1))
         weights = np.log((counts + _SMOOTH * mean) / (counts.sum(0) + _SMOOTH) / mean)
-        prior = (post.sum(0) + 1) / (post.sum() + k)
+        weights[mute] = np.minimum(weights[mute], 0)
+        prior = ((post * weight).sum(0) + 1) / ((post * weight).sum() + k)
         if not len(starts):
             break
         post = _softmax(_sentence_scores(weights, ids, starts) + np.log(allowed)[owner])

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from specloom.session import cut
+
 # Code points that Unicode calls default ignorable.
 _IGNORABLE = (
     (0x00AD, 0x00AD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E),
@@ -90,6 +92,10 @@ def _forms(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"canonical": canonical.reindex(codes).to_numpy(), "visual": visual.reindex(codes).to_numpy()})
 
 
+# A filter or field access on the result must not run the function again.
+_forms = _forms.asNondeterministic()
+
+
 def text_forms(text: Column) -> Column:
     """Struct of ``canonical`` and ``visual`` form; null for null. Empty text has empty forms."""
     return _forms(text)
@@ -103,7 +109,8 @@ def variant_classes(records: DataFrame) -> DataFrame:
     """
     seen = records.where("value IS NOT NULL AND record_key IS NOT NULL").select("field_name", "record_key", "value").distinct()
     values = seen.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n_records")).withColumn("form", text_forms(F.col("value")))
-    values = values.select("field_name", "form.canonical", "form.visual", "value", "n_records")
+    # Read twice below: written once, each value gets its forms once.
+    values = cut(values.select("field_name", "form.canonical", "form.visual", "value", "n_records"))
     # The smallest and the largest value of a class tell whether it has several; no list of them is collected.
     several = values.groupBy("field_name", "canonical", "visual").agg(F.min("value").alias("low"), F.max("value").alias("high")).where("low <> high")
     return values.join(several.drop("low", "high"), ["field_name", "canonical", "visual"], "left_semi")
@@ -117,7 +124,7 @@ def lookalike_pairs(records: DataFrame, salts: int = 8) -> DataFrame:
     over ``salts`` tasks. Null values and keys are in no pair; an empty value pairs with one of invisible characters only;
     repeated rows count once; of a key with several values each value counts, but a key never pairs with itself.
     """
-    classes = variant_classes(records)
+    classes = cut(variant_classes(records))
     left, right = classes.alias("l"), classes.alias("r")
     heavier = F.col("l.n_records") > F.col("r.n_records")
     first = heavier | ((F.col("l.n_records") == F.col("r.n_records")) & (F.col("l.value") < F.col("r.value")))

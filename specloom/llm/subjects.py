@@ -20,6 +20,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -90,6 +92,7 @@ class Model:
 
     subjects: list[str]
     vocabulary: dict[str, int]
+    index: Index
     weights: np.ndarray  # terms x (subjects + 1): log odds against the mean class, the last class is no subject
     prior: np.ndarray
     sources: dict[str, int]
@@ -100,22 +103,70 @@ class Model:
     platt: list[tuple[float, float]] = field(default_factory=list)
 
 
-def _encode(texts: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[list[bool], list[int]]]]:
-    """Term ids of all sentences in one array, the start of each sentence in it, the document of each sentence, and each document's structure."""
-    ids: list[int] = []
-    starts, owner, shape = [], [], []
-    get = vocabulary.get
+class Index:
+    """A vocabulary for looking up a whole batch at once: words by a dictionary, pairs of words by their numbers in a sorted array."""
+
+    def __init__(self, vocabulary: dict[str, int]) -> None:
+        plain = {t: i for t, i in vocabulary.items() if not _CJK.search(t)}
+        self.runs = {t: i for t, i in vocabulary.items() if t not in plain}
+        parts = [(t.split(" "), i) for t, i in plain.items()]
+        self.words = {w: n for n, w in enumerate(dict.fromkeys(w for ws, _ in parts for w in ws))}
+        # The last place stands for unknown words.
+        self.word_term = np.full(len(self.words) + 1, -1, np.int64)
+        codes = {}
+        for ws, i in parts:
+            if len(ws) == 1:
+                self.word_term[self.words[ws[0]]] = i
+            else:
+                codes[self.words[ws[0]] * len(self.words) + self.words[ws[1]]] = i
+        self.pair_codes = np.array(sorted(codes), np.int64)
+        self.pair_term = np.array([codes[c] for c in self.pair_codes.tolist()], np.int64)
+
+
+def _encode(texts: list[str], index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[list[bool], list[int]]]]:
+    """Term ids of all sentences in one array, the start of each sentence in it, the document of each sentence, and each document's structure.
+
+    The terms are those of ``terms``; here they are found for all sentences together.
+    """
+    words: list[str] = []
+    n_words: list[int] = []
+    grams: list[str] = []
+    n_grams: list[int] = []
+    owner, shape = [], []
     for d, text in enumerate(texts):
-        items, words = [], []
-        for s, item in sentences(text):
-            t = terms(s)
-            starts.append(len(ids))
+        items, lengths = [], []
+        for sentence, item in sentences(text.lower()):
+            runs = () if sentence.isascii() else _CJK.findall(sentence)
+            before = len(grams)
+            for run in runs:
+                grams += map(add, run, run[1:])
+                grams += map("".join, zip(run, run[1:], run[2:]))
+            found = _WORD.findall(_CJK.sub(" ", sentence) if runs else sentence)
+            words += found
+            n_words.append(len(found))
+            n_grams.append(len(grams) - before)
             owner.append(d)
             items.append(item)
-            words.append(len(t))
-            ids += [i for i in map(get, t) if i is not None]
-        shape.append((items, words))
-    return np.array(ids, np.int64), np.array(starts, np.int64), np.array(owner, np.int64), shape
+            lengths.append(len(found) + sum(map(len, runs)))
+        shape.append((items, lengths))
+    n = len(owner)
+    at = np.repeat(np.arange(n), n_words) if n else np.zeros(0, np.int64)
+    number = np.fromiter(map(index.words.get, words, repeat(-1)), np.int64, len(words))
+    single = index.word_term[number]
+    gram = np.fromiter(map(index.runs.get, grams, repeat(-1)), np.int64, len(grams))
+    gram_at = np.repeat(np.arange(n), n_grams) if n else np.zeros(0, np.int64)
+    ids, place = [single[single >= 0], gram[gram >= 0]], [at[single >= 0], gram_at[gram >= 0]]
+    if len(index.pair_codes) and len(number) > 1:
+        joined = np.flatnonzero((at[1:] == at[:-1]) & (number[1:] >= 0) & (number[:-1] >= 0))
+        code = number[joined] * len(index.words) + number[joined + 1]
+        found_at = np.minimum(np.searchsorted(index.pair_codes, code), len(index.pair_codes) - 1)
+        hit = index.pair_codes[found_at] == code
+        ids.append(index.pair_term[found_at[hit]])
+        place.append(at[joined[hit]])
+    all_ids, all_places = np.concatenate(ids), np.concatenate(place)
+    order = np.argsort(all_places, kind="stable")
+    counts = np.bincount(all_places, minlength=n)
+    return all_ids[order], np.cumsum(counts) - counts, np.array(owner, np.int64), shape
 
 
 def _sentence_scores(weights: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -144,7 +195,7 @@ def document_shares(model: Model, texts: list[str]) -> tuple[np.ndarray, list[li
 
     A first pass finds what the document deals with, a second reads ambiguous sentences in that light.
     """
-    ids, starts, owner, shape = _encode(texts, model.vocabulary)
+    ids, starts, owner, shape = _encode(texts, model.index)
     n = len(texts)
     score = _sentence_scores(model.weights, ids, starts)
     counts = np.maximum(np.bincount(owner, minlength=n), 1)[:, None] if len(owner) else np.ones((n, 1))
@@ -166,15 +217,16 @@ def fit_terms(texts: list[str], labels: list[set[str]], subjects: list[str], sou
         seen.update({t for s, _ in sentences(text) for t in terms(s)})
     kept = sorted((t for t, c in seen.items() if c >= 2), key=lambda t: (-seen[t], t))[:MAX_TERMS]
     vocabulary = {t: i for i, t in enumerate(kept)}
-    ids, starts, owner, _ = _encode(texts, vocabulary)
+    index = Index(vocabulary)
+    ids, starts, owner, _ = _encode(texts, index)
     k = len(subjects) + 1
     allowed = np.full((len(texts), k), _PASSING / k)
     allowed[:, -1] = 0.4
-    index = {s: i for i, s in enumerate(subjects)}
+    place = {s: i for i, s in enumerate(subjects)}
     for d, names in enumerate(labels):
         for s in names:
-            if s in index:
-                allowed[d, index[s]] = 1.0
+            if s in place:
+                allowed[d, place[s]] = 1.0
     lengths = np.diff(np.append(starts, len(ids)))
     sentence_of = np.repeat(np.arange(len(starts)), lengths)
     allowed = allowed / allowed.sum(1, keepdims=True)
@@ -200,7 +252,7 @@ def fit_terms(texts: list[str], labels: list[set[str]], subjects: list[str], sou
             break
         post = _softmax(_sentence_scores(weights, ids, starts) + np.log(allowed)[owner])
     names = sorted(set(sources))
-    return Model(subjects, vocabulary, weights.astype(np.float32), prior, {s: i for i, s in enumerate(names)})
+    return Model(subjects, vocabulary, index, weights.astype(np.float32), prior, {s: i for i, s in enumerate(names)})
 
 
 def _features(model: Model, shares: np.ndarray, structure: list[list[float]], sources: list[str]) -> np.ndarray:

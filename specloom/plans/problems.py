@@ -111,11 +111,11 @@ WITH p AS (
 _P4_SQL = r"""
 WITH u AS (
   SELECT 'product_sitemap_urls' AS table_name, run_id, url AS record_key,
-    array_to_string(list_sort(list_distinct(list_transform(list_filter(string_split(coalesce(lastmod, ''), '|'), lambda x: trim(x) <> ''), lambda x: epoch_us(trim(x)::timestamptz)))), '|') || '=' || coalesce(state, '~') AS state
+    array_to_string(list_sort(list_distinct(list_transform(list_filter(string_split(coalesce(lastmod, ''), '|'), lambda x: trim(x) <> ''), lambda x: epoch_us((CASE WHEN length(trim(x)) = 10 THEN trim(x) || 'T00:00:00Z' ELSE trim(x) END)::timestamptz)))), '|') || '=' || coalesce(state, '~') AS state
   FROM product_sitemap_urls
   UNION
   SELECT 'candidates', run_id, candidate_id,
-    array_to_string(list_sort(list_distinct(list_transform(coalesce(from_json(lastmod_claims, '["VARCHAR"]'), []), lambda x: epoch_us(x::timestamptz)))), '|')
+    array_to_string(list_sort(list_distinct(list_transform(coalesce(from_json(lastmod_claims, '["VARCHAR"]'), []), lambda x: epoch_us((CASE WHEN length(x) = 10 THEN x || 'T00:00:00Z' ELSE x END)::timestamptz)))), '|')
   FROM candidates
 ), d AS (
   SELECT table_name, run_id, row_number() OVER (PARTITION BY table_name ORDER BY tick) AS ord

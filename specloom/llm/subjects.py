@@ -169,14 +169,24 @@ def _encode(texts: list[str], index: Index) -> tuple[np.ndarray, np.ndarray, np.
     return all_ids[order], np.cumsum(counts) - counts, np.array(owner, np.int64), shape
 
 
+#: Sentences whose term rows are held in memory together.
+_BLOCK = 8_192
+
+
 def _sentence_scores(weights: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    if not len(starts):
-        return np.zeros((0, weights.shape[1]))
-    rows = np.vstack([weights[ids], np.zeros((1, weights.shape[1]))])
-    total = np.add.reduceat(rows, starts, axis=0)
-    # reduceat repeats the next element for an empty sentence.
-    total[np.diff(np.append(starts, len(ids))) == 0] = 0
-    return total
+    """Sum of the weights of each sentence's terms, block by block."""
+    out = np.zeros((len(starts), weights.shape[1]))
+    ends = np.append(starts[1:], len(ids))
+    for a in range(0, len(starts), _BLOCK):
+        b = min(a + _BLOCK, len(starts))
+        first = starts[a]
+        # One row more, as a last sentence may be empty and start behind the others.
+        rows = np.vstack([weights[ids[first : ends[b - 1]]], np.zeros((1, weights.shape[1]))])
+        part = np.add.reduceat(rows, starts[a:b] - first, axis=0)
+        # For an empty sentence reduceat gives the element at its start.
+        part[ends[a:b] == starts[a:b]] = 0
+        out[a:b] = part
+    return out
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:

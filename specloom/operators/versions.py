@@ -21,13 +21,33 @@ def version_chain(observations: DataFrame, key: Sequence[str], content: str, at:
     )
 
 
-def change_status(observations: DataFrame, key: Sequence[str], content: str, at: str) -> DataFrame:
-    """Each distinct observation against the one before: ``status`` new, changed or unchanged, and what a changed one supersedes."""
-    seen = observations.select(*key, content, at).distinct()
-    w = Window.partitionBy(*key).orderBy(at, content)
-    before = F.lag(content).over(w)
-    status = F.when(F.row_number().over(w) == 1, "new").when(before.eqNullSafe(F.col(content)), "unchanged").otherwise("changed")
-    return seen.select("*", status.alias("status"), F.when(status == "changed", before).alias("supersedes"))
+#: Length of a time slice in microseconds: the unit of parallel work within one key.
+SLICE = 30 * 86_400_000_000
+
+
+def with_before(df: DataFrame, key: Sequence[str], at: str, order: Sequence[str], value: str, slice_micros: int = SLICE) -> DataFrame:
+    """``df`` and ``before``, a struct of the value before each row of its key (null for the first row), without a window over a whole key.
+
+    Windows run within time slices of ``at`` (microseconds, the first column of ``order``); the first row of a slice gets the last value of the slice before
+    from one summary row per key and slice. Rows with a null key or time have no place in an order and are left out.
+    """
+    rows = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (*key, at))).withColumn("__slice", F.floor(F.col(at) / F.lit(slice_micros)))
+    held = F.struct(F.col(value).alias("value"))
+    w = Window.partitionBy(*key, "__slice").orderBy(*order)
+    last = rows.groupBy(*key, "__slice").agg(F.max_by(held, F.struct(*order)).alias("__last"))
+    carried = last.withColumn("__carried", F.lag("__last").over(Window.partitionBy(*key).orderBy("__slice"))).drop("__last")
+    joined = rows.withColumn("__inside", F.lag(held).over(w)).join(carried, [*key, "__slice"])
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), F.coalesce("__inside", "__carried").alias("before"))
+
+
+def change_status(observations: DataFrame, key: Sequence[str], content: str, at: str, slice_micros: int = SLICE) -> DataFrame:
+    """Each distinct observation against the one before: ``status`` new, changed or unchanged, and what a changed one supersedes.
+
+    ``at`` is in microseconds; of several contents at one time the smaller comes first.
+    """
+    seen = with_before(observations.select(*key, content, at).distinct(), key, at, [at, content], content, slice_micros)
+    status = F.when(F.col("before").isNull(), "new").when(F.col("before.value").eqNullSafe(F.col(content)), "unchanged").otherwise("changed")
+    return seen.select(*key, content, at, status.alias("status"), F.when(status == "changed", F.col("before.value")).alias("supersedes"))
 
 
 def current_rows(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -47,11 +67,10 @@ def stale_rows(df: DataFrame, batch: DataFrame, key: Sequence[str], at: str) ->
     return batch.join(latest, list(key)).where(F.col(at) < F.col("__latest")).drop("__latest")
 
 
-def stable_since(observations: DataFrame, key: Sequence[str], content: str, at: str) -> DataFrame:
+def stable_since(observations: DataFrame, key: Sequence[str], content: str, at: str, slice_micros: int = SLICE) -> DataFrame:
     """Per key, the current content and since when it has been unchanged: the start of the last run of equal contents."""
-    seen = observations.select(*key, content, at).distinct()
-    w = Window.partitionBy(*key).orderBy(at, content)
-    starts = seen.withColumn("__before", F.lag(content).over(w)).where(F.col("__before").isNull() | (F.col("__before") != F.col(content)))
+    seen = with_before(observations.select(*key, content, at).distinct(), key, at, [at, content], content, slice_micros)
+    starts = seen.where(F.col("before").isNull() | ~F.col("before.value").eqNullSafe(F.col(content)))
     return starts.groupBy(*key).agg(F.max_by(content, F.struct(at, content)).alias(content), F.max(at).alias("since"))
 
 

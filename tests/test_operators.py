@@ -137,3 +137,17 @@ def test_reconcile_rejects_merge(spark):
     merged = matching.merge_records(a, b.withColumn("m", F.lit("9")), "url", ["m"])
     assert rows(merged, "url", "m") == [("u", "1"), ("v", "1"), ("w", "1"), ("x", "9")]
     assert rows(matching.set_difference(a, b, ["url"]), "url", "side") == [("w", "left"), ("x", "right")]
+
+
+def test_slices_change_nothing(spark):
+    r = random.Random(9)
+    data = [(r.choice(["hot", "hot", "a", "b"]), r.randrange(-300, 300), r.choice("xyz")) for _ in range(500)] + [(None, 1, "x"), ("a", None, "x"), ("a", 2, None)]
+    df = spark.createDataFrame(data, "k string, at long, v string")
+    want, last = {}, {}
+    for k, at, v in sorted({x for x in data if None not in x[:2]}, key=lambda x: (x[0], x[1], x[2] is not None, x[2] or "")):
+        want[k, at, v] = "new" if k not in last else "unchanged" if last[k] == v else "changed"
+        last[k] = v
+    for width in (7, 100, 10**9):
+        got = {(x.k, x.at, x.v): x.status for x in versions.change_status(df, ["k"], "v", "at", width).collect()}
+        assert got == want
+        assert {x.k: x.v for x in versions.stable_since(df, ["k"], "v", "at", width).collect()} == last

@@ -26,11 +26,16 @@ def instant_micros(text: Column) -> Column:
     return F.unix_micros(instant(text))
 
 
+def _in_utc(ts: Column, pattern: str) -> Column:
+    """A timestamp's UTC wall clock as text, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), pattern)
+
+
 def utc_month(ts: Column) -> Column:
-    """``YYYY-MM`` of a timestamp; the session's zone is expected to be UTC."""
-    return F.date_format(ts, "yyyy-MM")
+    """``YYYY-MM`` of a timestamp in UTC."""
+    return _in_utc(ts, "yyyy-MM")
 
 
 def utc_seconds_text(micros: Column) -> Column:
     """``YYYY-MM-DDTHH:MM:SSZ`` of microseconds since 1970."""
-    return F.date_format(F.timestamp_micros(micros), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return _in_utc(F.timestamp_micros(micros), "yyyy-MM-dd'T'HH:mm:ss'Z'")

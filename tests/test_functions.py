@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from specloom.functions import ids, text, urls
-from specloom.functions.instants import instant_micros, utc_seconds_text
+from specloom.functions.instants import instant, instant_micros, utc_month, utc_seconds_text
 
 
 def values(spark, items, expression):
@@ -19,6 +19,15 @@ def test_instants(spark):
     assert values(spark, same[:1], lambda c: utc_seconds_text(instant_micros(c))) == ["2026-01-01T00:00:00Z"]
 
 
+def test_instants_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert values(spark, ["2026-01-01T02:00:00Z"], lambda c: utc_seconds_text(instant_micros(c))) == ["2026-01-01T02:00:00Z"]
+        assert values(spark, ["2026-01-01", "2025-12-31T23:30:00-05:00"], lambda c: utc_month(instant(c))) == ["2026-01", "2026-01"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_urls(spark):
     assert values(spark, ["HTTPS://A.Example:443/x?Q=1#f", "http://a.example", "ftp://a/", "https://u:p@a/", "not a url", None], urls.canonical_url) == [
         "https://a.example:443/x?Q=1", "http://a.example/", None, None, None, None]

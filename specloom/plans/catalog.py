@@ -63,13 +63,19 @@ def product_roots(spark: SparkSession, d: str) -> DataFrame:
 
 
 def product_closure(spark: SparkSession, d: str) -> DataFrame:
-    """All descendants of the products of one company that have no parent, with their depth."""
+    """All descendants of the parents of one company's products (vertiv), with their depth, as its SQL has it; ``product_closure_all`` takes every company."""
     c = _current(spark, d)
     edges = c.select(F.col("parent_id").alias("parent"), F.col("product_id").alias("child"))
     seeds = c.where("parent_id IS NOT NULL AND product_id LIKE 'vertiv-%'").select(F.col("parent_id").alias("node"))
     return graphs.closure(edges, seeds)
 
 
+def product_closure_all(spark: SparkSession, d: str) -> DataFrame:
+    """All descendants of every product that is a parent, of all companies, with their depth."""
+    edges = _current(spark, d).select(F.col("parent_id").alias("parent"), F.col("product_id").alias("child"))
+    return graphs.closure(edges, edges.select(F.col("parent").alias("node")))
+
+
 def product_by_category(spark: SparkSession, d: str) -> DataFrame:
     """Inverted index from category to products: counts."""
     return _current(spark, d).select(F.explode(F.array_distinct("categories")).alias("category"), "product_id").groupBy("category").agg(F.count(F.lit(1)).alias("n_products"))
@@ -263,7 +269,7 @@ def hosts_by_company(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        product_current, product_conflicts, product_stale, product_stable_since, product_parents_missing, product_roots, product_closure, product_by_category, spec_cells, spec_labels,
+        product_current, product_conflicts, product_stale, product_stable_since, product_parents_missing, product_roots, product_closure, product_closure_all, product_by_category, spec_cells, spec_labels,
         spec_coverage, mapping_cells, mapping_fields, comparison_models, row_children, identity_names, brand_prefix, brand_mentions, subset_names, quotes_in_documents, products_tiered,
         products_merged, duplicate_rows, rejected_rows, receipts_by_environment, packages_without_receipt, receipts_altered, receipt_items, receipt_environment_sets, package_items,
         primary_evidence, titles_clean, breadcrumb_levels, hosts_by_company,
@@ -290,6 +296,8 @@ ORACLE = {
     "product_roots": _CUR.replace("WITH", "WITH RECURSIVE", 1) + """, w AS (SELECT product_id, product_id AS up, 0::bigint AS hops FROM c UNION ALL SELECT w.product_id, c.parent_id, w.hops + 1 FROM w JOIN c ON c.product_id = w.up WHERE c.parent_id IS NOT NULL AND w.hops < 60)
   SELECT product_id, arg_max(up, hops) AS root, max(hops) AS hops, false AS in_cycle FROM w GROUP BY 1""",
     "product_closure": _CUR.replace("WITH", "WITH RECURSIVE", 1) + """, w AS (SELECT DISTINCT parent_id AS seed, parent_id AS node, 0 AS depth FROM c WHERE parent_id IS NOT NULL AND product_id LIKE 'vertiv-%' UNION ALL SELECT w.seed, c.product_id, w.depth + 1 FROM w JOIN c ON c.parent_id = w.node WHERE w.depth < 60)
+  SELECT seed, node, min(depth) AS depth FROM w GROUP BY 1, 2""",
+    "product_closure_all": _CUR.replace("WITH", "WITH RECURSIVE", 1) + """, w AS (SELECT DISTINCT parent_id AS seed, parent_id AS node, 0 AS depth FROM c WHERE parent_id IS NOT NULL UNION SELECT w.seed, c.product_id, w.depth + 1 FROM w JOIN c ON c.parent_id = w.node)
   SELECT seed, node, min(depth) AS depth FROM w GROUP BY 1, 2""",
     "product_by_category": _CUR + "SELECT category, count(*) AS n_products FROM (SELECT DISTINCT product_id, unnest(CAST(payload -> '$.categories' AS VARCHAR[])) AS category FROM c) GROUP BY 1",
     "spec_cells": _CELLS + "SELECT product_id, table_index, section, row_index, cell_index, text FROM cells",

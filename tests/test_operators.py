@@ -6,6 +6,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from specloom.operators import cells, graphs, matching, sequences, versions
+from specloom.plans import catalog
 
 
 def rows(df, *names):
@@ -78,6 +79,20 @@ def test_closure_and_cycles(spark):
     assert got["t"] == ("r", 2, False) and got["r"] == ("r", 0, False) and got["o"] == ("gone", 1, False) and got["n39"] == ("n0", 39, False)
 
 
+def test_product_closure_of_all_companies(spark, sf_dir):
+    children = defaultdict(set)
+    for x in catalog._current(spark, sf_dir).where("parent_id IS NOT NULL").collect():
+        children[x.parent_id].add(x.product_id)
+    want = {}
+    for seed in children:
+        level, depth = {seed}, 0
+        while level:
+            want |= {(seed, n): depth for n in level}
+            level, depth = {k for n in level for k in children.get(n, ())} - {n for s, n in want if s == seed}, depth + 1
+    got = {(x.seed, x.node): x.depth for x in catalog.QUERIES["product_closure_all"](spark, sf_dir).collect()}
+    assert got == want and len({s.split("-")[0] for s, _ in got}) > 1
+
+
 def test_taxonomy(spark):
     p = spark.createDataFrame([("/a/b/c",), ("a/d",), ("",), (None,)], "path string")
     assert rows(graphs.prefix_nodes(p, "path"), "node", "parent", "depth") == [("a", None, 1), ("a/b", "a", 2), ("a/b/c", "a/b", 3), ("a/d", "a", 2)]

@@ -8,23 +8,26 @@ from pyspark.sql import functions as F
 from specloom.session import cut
 
 
-def closure(edges: DataFrame, seeds: DataFrame, max_depth: int = 100) -> DataFrame:
+def closure(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``seed, node, depth``: all nodes reachable from each seed, at their least depth; a seed reaches itself at 0.
 
-    ``edges`` has ``parent, child``, ``seeds`` has ``node``. Cycles end by the anti-join. Lineage is cut at every level. Null ends are no edges.
+    ``edges`` has ``parent, child``, ``seeds`` has ``node``. Cycles end by the anti-join, so levels go on until one is empty; a ``max_depth``
+    below the last level raises. Lineage is cut at every level. Null ends are no edges.
     """
-    links = edges.where("parent IS NOT NULL AND child IS NOT NULL").select("parent", "child").distinct()
-    frontier = seeds.where("node IS NOT NULL").select(F.col("node").alias("seed"), "node").distinct().withColumn("depth", F.lit(0))
-    reached = cut(frontier)
-    frontier = reached
-    for depth in range(1, max_depth + 1):
+    links = cut(edges.where("parent IS NOT NULL AND child IS NOT NULL").select("parent", "child").distinct())
+    frontier = cut(seeds.where("node IS NOT NULL").select(F.col("node").alias("seed"), "node").distinct().withColumn("depth", F.lit(0)))
+    reached, depth = frontier, 0
+    while True:
+        depth += 1
         step = frontier.join(links, frontier["node"] == links["parent"]).select("seed", F.col("child").alias("node")).distinct()
-        fresh = cut(step.join(reached, ["seed", "node"], "left_anti").withColumn("depth", F.lit(depth)))
-        if fresh.isEmpty():
-            break
-        reached = cut(reached.unionByName(fresh))
-        frontier = fresh
-    return reached
+        frontier = cut(step.join(reached, ["seed", "node"], "left_anti").withColumn("depth", F.lit(depth)))
+        if frontier.isEmpty():
+            return reached
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"nodes beyond depth {max_depth}")
+        reached = reached.unionByName(frontier)
+        if depth % 16 == 0:
+            reached = cut(reached)
 
 
 def ancestors(parents: DataFrame) -> DataFrame:

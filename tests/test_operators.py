@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from specloom.operators import cells, graphs, matching, sequences, versions
@@ -79,6 +80,16 @@ def test_closure_and_cycles(spark):
     assert got["t"] == ("r", 2, False) and got["r"] == ("r", 0, False) and got["o"] == ("gone", 1, False) and got["n39"] == ("n0", 39, False)
 
 
+def test_closure_of_long_chain(spark):
+    edges = spark.range(104).selectExpr("id AS parent", "id + 1 AS child").coalesce(1)
+    seed = spark.createDataFrame([(0,)], "node long")
+    assert rows(graphs.closure(edges, seed), "node", "depth") == [(i, i) for i in range(105)]
+    few = edges.where("parent < 3")
+    assert graphs.closure(few, seed, 3).count() == 4
+    with pytest.raises(ValueError):
+        graphs.closure(few, seed, 2)
+
+
 def test_product_closure_of_all_companies(spark, sf_dir):
     children = defaultdict(set)
     for x in catalog._current(spark, sf_dir).where("parent_id IS NOT NULL").collect():

@@ -196,7 +196,10 @@ def extract(body: bytes | None, kind: str | None) -> dict:
         return {"tables": [], "method": None, "status": "unreadable", "uncertainty": "no content or unknown format"}
     try:
         if kind == "html":
-            return {"tables": parse_page((unpack(body) or b"").decode("utf-8", "replace"))["tables"], "method": "html", "status": "extracted", "uncertainty": None}
+            page = unpack(body, ARCHIVE_BYTES)
+            if page is None:
+                raise ValueError("page is damaged or expands beyond its limit")
+            return {"tables": parse_page(page.decode("utf-8", "replace"))["tables"], "method": "html", "status": "extracted", "uncertainty": None}
         if kind in ("docx", "xlsx", "pptx"):
             return {"tables": office_tables(body, kind), "method": "office", "status": "extracted", "uncertainty": None}
         if kind == "csv":

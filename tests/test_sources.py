@@ -77,6 +77,14 @@ def test_office_and_kinds():
     assert unpack(gzip.compress(b"x" * 100)) == b"x" * 100 and unpack(gzip.compress(b"x" * 100), 50) is None
 
 
+def test_large_pages():
+    page = b"<html><table><tr><td>Weight</td><td>5</td></tr></table>" + b"x" * (17 << 20) + b"</html>"
+    got = extract(page, "html")
+    assert got["status"] == "extracted" and [[c["text"] for c in r] for r in got["tables"][0]["rows"]] == [["Weight", "5"]]
+    assert extract(gzip.compress(page)[:-9], "html")["status"] == "failed"
+    assert extract(page + b" " * (112 << 20), "html")["status"] == "failed"
+
+
 def test_layout_text():
     text = "Ratings\nModel   A1   A2\nPower  10 kW  20 kW\nWeight   5   6\nDepth  7  8\n* at 25 C\n\nplain text\fNext\nOnly  1\n"
     t = layout_tables(text)

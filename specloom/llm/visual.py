@@ -2,9 +2,9 @@
 
 Two forms of a text are made in one vectorised pass over the distinct values of each batch:
 
-* ``visual``: what a reader can tell apart. Characters that show nothing are dropped, blanks and hyphens of any origin and
-  full- or half-width forms become plain ones, letters of the same shape in other scripts become Latin, and the result is
-  composed. Letter case, accents, superscripts, circled digits, fractions and trade marks stay.
+* ``visual``: what a reader can tell apart. Characters that show nothing are dropped, blanks and hyphens of any origin,
+  full- or half-width, positional and styled forms become plain ones, letters of the same shape in other scripts become Latin,
+  blanks at either end go, and the result is composed. Letter case, accents, superscripts, circled digits, fractions and trade marks stay.
 * ``canonical``: one consistent form for comparison. The visual form in compatibility normalisation, composed, fully case-folded,
   with white space mapped to single blanks and trimmed.
 
@@ -30,27 +30,38 @@ _IGNORABLE = (
 )
 # Hyphens of the same shape as the ASCII one.
 _HYPHENS = "‐‑˗⁃﹣－"
-# Letters of other scripts with the shape of a Latin one.
+# Letters of other scripts with the shape of a Latin one, after the published list of confusable characters.
 _LOOKALIKES = {
-    "АВЕЅІЈКМНОРСТХԌԚԜҮ": "ABESIJKMHOPCTXGQWY",  # Cyrillic capitals
-    "аеѕіјорсухһԁԛԝү": "aesijopcyxhdqwy",  # Cyrillic small letters
+    "АВЕЅІЈКМНОРСТХԌԚԜҮӀ": "ABESIJKMHOPCTXGQWYl",  # Cyrillic capitals
+    "аеѕіјорсухһԁԛԝүӏ": "aesijopcyxhdqwyl",  # Cyrillic small letters
     "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ": "ABEZHIKMNOPTYXCJ",  # Greek capitals
-    "οϲϳ": "ocj",  # Greek small letters
+    "οϲϳν": "ocjv",  # Greek small letters
     "ՕՍԼ": "OUL",  # Armenian capitals
     "օսհոզցյ": "ouhnqgj",  # Armenian small letters
+    "ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᎩᏃ": "ABCDEGHJKLMPRSTVWYZ",  # Cherokee
+    "ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ": "ABCDEFGHIJKLMNOPRSTUVWXYZ",  # Lisu
+    "ⲞⲢⲤⲦⲘⲔⲎⲚⲒⲀ": "OPCTMKHNIA",  # Coptic capitals
+    "ⲟⲣⲥ": "opc",  # Coptic small letters
+    "ᴄᴏᴠᴡᴢꜱɡɑ": "covwzsga",  # Latin small capitals and variants
 }
+# Signs with the shape of an ASCII one.
+_SIGNS = {"∶꞉": "::", "∕": "/", "․": ".", "ǃ": "!", "ǀ∣": "||", "‚": ","}
 
 _DROP = dict.fromkeys(c for a, b in _IGNORABLE for c in range(a, b + 1))
 _PLAIN = dict.fromkeys(map(ord, _HYPHENS), "-")
-_LATIN = {ord(a): b for others, latin in _LOOKALIKES.items() for a, b in zip(others, latin, strict=True)}
+_LATIN = {ord(a): b for others, latin in (_LOOKALIKES | _SIGNS).items() for a, b in zip(others, latin, strict=True)}
+# Tags of decompositions that change how a character is laid out or coded, not what is read.
+_SAME_LOOK = frozenset(("<wide>", "<narrow>", "<small>", "<font>", "<isolated>", "<initial>", "<medial>", "<final>"))
+# Further code points that look like their compatibility form: Latin ligatures, roman numerals, radicals.
+_SAME_LOOK_RANGES = ((0xFB00, 0xFB06), (0x2160, 0x217F), (0x2F00, 0x2FD5))
 
 
 def _narrow(c: str) -> str:
-    """The plain form of a width variant, ligature, no-break or odd blank, or of another code for the same character."""
+    """The plain form of a width, positional or styled variant, ligature, no-break or odd blank, or of another code for the same character."""
     if unicodedata.category(c) == "Zs":
         return " "
     tag, _, rest = unicodedata.decomposition(c).partition(" ")
-    same_look = tag in ("<wide>", "<narrow>") or 0xFB00 <= ord(c) <= 0xFB06 or c in "µĲĳǇǈǉǊǋǌ"
+    same_look = tag in _SAME_LOOK or any(a <= ord(c) <= b for a, b in _SAME_LOOK_RANGES) or c in "µĲĳǇǈǉǊǋǌ"
     return unicodedata.normalize("NFKC", c) if same_look and rest else c
 
 
@@ -67,11 +78,11 @@ _WIDTHS = _Widths()
 
 def visual_form(text: str) -> str:
     if text.isascii():
-        return text
+        return text.strip()
     s = text.translate(_DROP).translate(_PLAIN).translate(_WIDTHS)
     # Marks are split off first, so that a look-alike letter under an accent is found too.
     s = unicodedata.normalize("NFD", s).translate(_LATIN)
-    return unicodedata.normalize("NFC", s)
+    return unicodedata.normalize("NFC", s).strip()
 
 
 def canonical_form(visual: str) -> str:

@@ -8,7 +8,8 @@ Two forms of a text are made in one vectorised pass over the distinct values of
 * ``canonical``: one consistent form for comparison. The visual form in compatibility normalisation, composed, fully case-folded,
   with white space mapped to single blanks and trimmed.
 
-Records that look the same are found by grouping on the canonical form and, as the exact check, the visual form.
+The canonical form is a function of the visual one, so values that look the same share it. Every distinct value is grouped on its canonical form;
+only where several values share one is the visual form made too, as the exact check that decides.
 """
 
 from __future__ import annotations
@@ -94,17 +95,31 @@ def canonical_form(visual: str) -> str:
 _FORMS = T.StructType([T.StructField("canonical", T.StringType()), T.StructField("visual", T.StringType())])
 
 
+def _per_value(text: pd.Series) -> tuple:
+    """Codes into the forms of the distinct values; code -1, null, takes none."""
+    codes, values = pd.factorize(text)
+    return codes, pd.Series([visual_form(v) for v in values], dtype=object)
+
+
 @F.pandas_udf(_FORMS)
 def _forms(text: pd.Series) -> pd.DataFrame:
-    codes, values = pd.factorize(text)
-    visual = pd.Series([visual_form(v) for v in values], dtype=object)
+    codes, visual = _per_value(text)
     canonical = visual.map(canonical_form).astype(object)
-    # Code -1 is null.
     return pd.DataFrame({"canonical": canonical.reindex(codes).to_numpy(), "visual": visual.reindex(codes).to_numpy()})
 
 
+@F.pandas_udf(T.StringType())
+def _canonical(text: pd.Series) -> pd.Series:
+    codes, visual = _per_value(text)
+    return pd.Series(visual.map(canonical_form).reindex(codes).to_numpy(), dtype=object)
+
+
 # A filter or field access on the result must not run the function again.
 _forms = _forms.asNondeterministic()
+_canonical = _canonical.asNondeterministic()
+
+#: ASCII white space, as a Java pattern.
+_ASCII_BLANKS = r"[\t\n\x0B\f\r\x1C-\x1F ]+"
 
 
 def text_forms(text: Column) -> Column:
@@ -112,47 +127,71 @@ def text_forms(text: Column) -> Column:
     return _forms(text)
 
 
-def variant_classes(records: DataFrame) -> DataFrame:
-    """``field_name, canonical, visual, value, n_records`` of all values that look like another value of their field.
+def canonical_text(text: Column) -> Column:
+    """The canonical form; ASCII texts, most of all, get theirs without leaving the JVM."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    plain = F.trim(F.lower(F.regexp_replace(text, _ASCII_BLANKS, " ")))
+    return F.coalesce(_canonical(F.when(~ascii_only, text)), plain)
 
-    ``records`` has ``field_name, record_key, value``. Counting values comes before comparing them, so a value that fills a third of the rows
-    is one row here.
-    """
-    seen = records.where("value IS NOT NULL AND record_key IS NOT NULL").select("field_name", "record_key", "value").distinct()
-    values = seen.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n_records")).withColumn("form", text_forms(F.col("value")))
-    # Read twice below: written once, each value gets its forms once.
-    values = cut(values.select("field_name", "form.canonical", "form.visual", "value", "n_records"))
-    # The smallest and the largest value of a class tell whether it has several; no list of them is collected.
-    several = values.groupBy("field_name", "canonical", "visual").agg(F.min("value").alias("low"), F.max("value").alias("high")).where("low <> high")
-    return values.join(several.drop("low", "high"), ["field_name", "canonical", "visual"], "left_semi")
+
+#: Bytes of text up to which the values of classes are broadcast; beyond, they are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
+#: Values of a class, and records of a value, that one task pairs at a time.
+BLOCK_VALUES, BLOCK_RECORDS = 256, 4096
 
 
-def lookalike_pairs(records: DataFrame, salts: int = 8) -> DataFrame:
+def variant_classes(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All values that look like another value of their field, and their records.
+
+    The first table is ``field_name, canonical, visual, value, n_values, value_id`` with the number of values of the class, the second
+    ``value_id, record_key``, distinct. ``records`` has ``field_name, record_key, value``. Values are made distinct before they are compared, so a
+    value that fills a third of the rows is one row; records are read again for the values of classes only.
+    """
+    known = records.where("value IS NOT NULL AND record_key IS NOT NULL").select("field_name", "record_key", "value")
+    values = known.select("field_name", "value").distinct()
+    # Grouped by a hash of the canonical form; what a collision adds here, the forms themselves part again.
+    values = cut(values.withColumn("form_hash", F.xxhash64(canonical_text(F.col("value")))))
+    shared = values.groupBy("field_name", "form_hash").count().where("count > 1").select("field_name", "form_hash")
+    candidates = values.join(shared, ["field_name", "form_hash"], "left_semi").withColumn("form", text_forms(F.col("value")))
+    candidates = cut(candidates.select("field_name", "form.canonical", "form.visual", "value"))
+    several = candidates.groupBy("field_name", "canonical", "visual").agg(F.count(F.lit(1)).alias("n_values")).where("n_values > 1")
+    classes = cut(candidates.join(several, ["field_name", "canonical", "visual"]).withColumn("value_id", F.monotonically_increasing_id()))
+    size = classes.agg(F.sum(F.octet_length("value") + 32)).first()[0] or 0
+    ids = classes.select("field_name", "value", "value_id")
+    found = known.join(F.broadcast(ids) if size <= BROADCAST_BYTES else ids, ["field_name", "value"])
+    return classes, cut(found.select("value_id", "record_key").distinct())
+
+
+def lookalike_pairs(records: DataFrame, block_values: int = BLOCK_VALUES, block_records: int = BLOCK_RECORDS) -> DataFrame:
     """``field_name, key_a, key_b`` with key_a < key_b: records whose values look the same but differ in their characters.
 
     Pairs of values are made first, within classes of equal forms, where every pair of values is a pair of records at
-    least; records join them afterwards, so no pair is made that is not in the result. The records of a frequent value are spread
-    over ``salts`` tasks. Null values and keys are in no pair; an empty value pairs with one of invisible characters only;
+    least; records join them afterwards, so no pair is made that is not in the result. A class of more than ``block_values`` values is
+    paired block by block, and of a pair of values the records of the more frequent one are split into parts of about ``block_records``.
+    Null values and keys are in no pair; an empty value pairs with one of invisible characters or blanks only;
     repeated rows count once; of a key with several values each value counts, but a key never pairs with itself.
     """
-    classes = cut(variant_classes(records))
-    left, right = classes.alias("l"), classes.alias("r")
-    heavier = F.col("l.n_records") > F.col("r.n_records")
-    first = heavier | ((F.col("l.n_records") == F.col("r.n_records")) & (F.col("l.value") < F.col("r.value")))
-    same = (F.col("l.field_name") == F.col("r.field_name")) & (F.col("l.canonical") == F.col("r.canonical")) & (F.col("l.visual") == F.col("r.visual"))
-    value_pairs = left.join(right, same & first).select(F.col("l.field_name").alias("field_name"), F.col("l.value").alias("value_a"), F.col("r.value").alias("value_b"))
-    keyed = (
-        records.where("value IS NOT NULL AND record_key IS NOT NULL").select("field_name", "record_key", "value").distinct()
-        .withColumn("salt", F.pmod(F.xxhash64("record_key"), F.lit(salts)))
-    )
-    every_salt = F.explode(F.array([F.lit(i).cast("long") for i in range(salts)])).alias("salt")
-    a = value_pairs.select("*", every_salt).join(keyed.select("field_name", "salt", F.col("value").alias("value_a"), F.col("record_key").alias("a")), ["field_name", "value_a", "salt"])
-    b = keyed.drop("salt").join(classes.select("field_name", "value"), ["field_name", "value"], "left_semi")
-    b = b.select("field_name", F.col("value").alias("value_b"), F.col("record_key").alias("b"), every_salt)
-    pairs = a.join(b, ["field_name", "value_b", "salt"]).where("a <> b")
-    return pairs.select("field_name", F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b")).distinct()
+    classes, keyed = variant_classes(records)
+    counts = keyed.groupBy("value_id").agg(F.count(F.lit(1)).alias("n"))
+    sized = cut(classes.join(counts, "value_id").select("field_name", "visual", "value_id", "n", F.ceil(F.col("n_values") / block_values).cast("int").alias("blocks")))
+    sized = sized.withColumn("block", F.pmod(F.xxhash64("value_id"), F.col("blocks")).cast("int"))
+    left = sized.select("field_name", "visual", F.col("value_id").alias("l"), F.col("n").alias("n_l"), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
+    right = sized.select("field_name", "visual", F.col("value_id").alias("r"), F.col("n").alias("n_r"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"))
+    both = left.join(right, ["field_name", "visual", "i", "j"]).where("i < j OR l < r")
+    heavier = F.col("n_l") >= F.col("n_r")
+    parts = F.ceil(F.greatest("n_l", "n_r") / block_records).cast("int")
+    pairs = both.select("field_name", F.when(heavier, F.col("l")).otherwise(F.col("r")).alias("a"), F.when(heavier, F.col("r")).otherwise(F.col("l")).alias("b"), parts.alias("parts"))
+    pairs = cut(pairs.select("field_name", "a", "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    parted = keyed.join(sized.select("value_id", F.ceil(F.col("n") / block_records).alias("parts")), "value_id")
+    parted = parted.select(F.col("value_id").alias("a"), F.pmod(F.xxhash64("record_key"), F.col("parts")).cast("int").alias("part"), F.col("record_key").alias("key_1"))
+    ones = pairs.join(parted, ["a", "part"])
+    twos = pairs.drop("field_name").join(keyed.select(F.col("value_id").alias("b"), F.col("record_key").alias("key_2")), "b")
+    met = ones.join(twos, ["a", "b", "part"]).where("key_1 <> key_2")
+    return met.select("field_name", F.least("key_1", "key_2").alias("key_a"), F.greatest("key_1", "key_2").alias("key_b")).distinct()
 
 
 def class_report(records: DataFrame) -> DataFrame:
-    """Per form that several values share: ``field_name, canonical, visual, n_values, n_records``."""
-    return variant_classes(records).groupBy("field_name", "canonical", "visual").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n_records").alias("n_records"))
+    """Per form that several values share: ``field_name, canonical, visual, n_values, n_records``, the records counted once per value."""
+    classes, keyed = variant_classes(records)
+    counts = keyed.groupBy("value_id").agg(F.count(F.lit(1)).alias("n"))
+    return classes.join(counts, "value_id").groupBy("field_name", "canonical", "visual").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_records"))

@@ -9,7 +9,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from specloom.llm.visual import canonical_form, class_report, lookalike_pairs, text_forms, visual_form
+from specloom.llm.visual import canonical_form, canonical_text, class_report, lookalike_pairs, text_forms, visual_form
 
 SAME = [
     ("Kühlung", "Kühlung"), ("rack", "r​ack﻿"), ("a b", "a b"), ("a b", "a　b"), ("AB-1", "ＡＢ－１"), ("Rack", "Rасk"), ("é", "е́"), ("5 µm", "5 μm"), ("Ω", "Ω"), ("K", "K"),
@@ -61,11 +61,33 @@ def test_pairs_against_all_pairs(spark):
         if f == g and a != b and x != y and visual_form(x) == visual_form(y):
             want.add((f, min(a, b), max(a, b)))
     df = spark.createDataFrame([(*x, 1, "s") for x in rows], SCHEMA + ", salt int, visual string")
-    got = [tuple(x) for x in lookalike_pairs(df).collect()]
-    assert len(got) == len(set(got)) and set(got) == want and want
+    for blocks in ({}, {"block_values": 1, "block_records": 7}):
+        got = [tuple(x) for x in lookalike_pairs(df, **blocks).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and want
     assert all(x.n_values > 1 for x in class_report(df).collect())
 
 
+def test_one_class_of_many_values(spark):
+    """2 000 values of one class, and a value that holds most records: 400 of it against one other, every pair once."""
+    shown = ["A", "Α", "А", "ꓮ"]
+    values = ["".join(x) for x in itertools.islice(itertools.product(shown, repeat=6), 2000)]
+    df = spark.createDataFrame([("f", f"k{i:05d}", v) for i, v in enumerate(values)], SCHEMA)
+    assert lookalike_pairs(df).count() == 2000 * 1999 // 2
+    hot = [("g", f"h{i}", "rack") for i in range(10_000)] + [("g", "one", "rаck")]
+    assert lookalike_pairs(spark.createDataFrame(hot, SCHEMA)).count() == 10_000
+
+
+@given(st.text())
+def test_canonical_from_any_look(s):
+    assert canonical_form(visual_form(s)) == canonical_form(visual_form(visual_form(s)))
+
+
+def test_canonical_in_the_jvm(spark):
+    texts = ["A  b\tC", " \x1f x", "", "\x7f", "Ünï Ⅳ", "K", None]
+    got = [x[0] for x in spark.createDataFrame([(t,) for t in texts], "t string").select(canonical_text(F.col("t"))).collect()]
+    assert got == [None if t is None else canonical_form(visual_form(t)) for t in texts]
+
+
 def test_empty_null_and_long(spark):
     assert lookalike_pairs(spark.createDataFrame([], SCHEMA)).collect() == []
     long = "é" * 300_000

@@ -33,8 +33,11 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, d: str) -> DataFrame:
-    obs = history.observations(table(spark, d, "product_versions"), "product_id", "version", "observed_at", "payload")
-    return history.type_two(obs)
+    """The first load holds what was imported before the latest month of imports; that month is merged into it as a batch."""
+    log = table(spark, d, "product_versions")
+    latest = log.agg(F.date_trunc("month", F.max("imported_at"))).first()[0]
+    obs = history.observations(log, "product_id", "version", "observed_at", "payload", extra=["imported_at"])
+    return history.merge_batches(obs, "imported_at", [latest] if latest else [])
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -47,6 +50,15 @@ def p3_current(spark: SparkSession, d: str) -> DataFrame:
     return now.select(F.col("key").alias("product_id"), "version", "valid_from")
 
 
+def p3_merged(spark: SparkSession, d: str) -> DataFrame:
+    """Periods of the stored versions, where one is stored, merged in four batches of equal spans of import time, most of them with late observations."""
+    log = table(spark, d, "product_versions").where("version IS NOT NULL")
+    low, high = log.agg(F.min("imported_at"), F.max("imported_at")).first()
+    borders = [low + (high - low) * i / 4 for i in (1, 2, 3)] if low else []
+    obs = history.observations(log, "product_id", "version", "observed_at", extra=["imported_at"])
+    return history.periods_text(history.merge_batches(obs, "imported_at", borders)).withColumnRenamed("key", "product_id")
+
+
 def _runs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "map_runs").select(F.col("id").alias("run_id"), instant(F.col("observed_at")).alias("at"))
 
@@ -87,7 +99,7 @@ def p5_quantities(spark: SparkSession, d: str) -> DataFrame:
     return q.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_current, p4_found, p4_report, p5_found, p5_quantities)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_current, p3_merged, p4_found, p4_report, p5_found, p5_quantities)}
 
 _P1_SQL = r"""
 WITH p AS (
@@ -131,7 +143,20 @@ x AS (
 )
 """
 
+_P3_SQL = r"""
+WITH o AS (
+  SELECT DISTINCT product_id, epoch_us(observed_at::timestamptz) AS tick, lower(trim(version)) AS version
+  FROM product_versions WHERE version IS NOT NULL AND product_id IS NOT NULL AND observed_at IS NOT NULL
+), s AS (
+  SELECT *, lag(version) OVER (PARTITION BY product_id ORDER BY tick, version) AS earlier FROM o
+), c AS (SELECT * FROM s WHERE earlier IS DISTINCT FROM version)
+SELECT product_id, version, strftime(make_timestamp(tick), '%Y-%m-%dT%H:%M:%SZ') AS valid_from,
+  coalesce(strftime(make_timestamp(lead(tick) OVER (PARTITION BY product_id ORDER BY tick, version)), '%Y-%m-%dT%H:%M:%SZ'), 'open') AS valid_to
+FROM c
+"""
+
 ORACLE = {
+    "p3_merged": _P3_SQL,
     "p1_found": _P1_SQL + "SELECT table_name, month_utc, ref_key, orphan_kind FROM o WHERE orphan_kind IS NOT NULL",
     "p1_report": _P1_SQL + "SELECT table_name, month_utc, orphan_kind, count(*) AS n_keys, CAST(sum(n_refs) AS BIGINT) AS n_refs FROM o WHERE orphan_kind IS NOT NULL GROUP BY 1, 2, 3",
     "p4_found": _P4_SQL + "SELECT table_name, run_id, record_key, change_kind FROM x WHERE change_kind IS NOT NULL",

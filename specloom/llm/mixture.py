@@ -6,8 +6,11 @@
    that r uses cost r squared and a flow repeats as little and as evenly as it can; a source takes at most ``max_repeats``
    times a pattern's tokens.
 3. Each pattern's documents are laid on a line in seeded order. What the flow gives to a source is an interval of that
-   line, taken round and round for repeats, and the documents in it are used. What is missing at an interval's end, less than one
-   document, is filled with the next documents that fit.
+   line, taken round and round for repeats, and the documents whose middle lies in it are used, so that an end is off by half a document
+   at most. What shared patterns are off by is taken up by the source's own pattern.
+4. Round by round, each source is then given, or relieved of, the one use among all its documents that brings its total nearest to
+   its quota, until no use does so or ``REFINEMENTS`` rounds are over. After the first round a source that can still take or
+   give a use is within half of the document at its interval's end.
 
 The line's positions are sums over hash buckets first and within a bucket then, so that no task sees a whole source.
 """
@@ -16,7 +19,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +27,10 @@ from specloom.session import cut
 
 SEED = 29
 BUCKETS = 4096
-#: Documents behind an interval's end that are tried for the rest of its quota.
-FILL_IN = 400
+#: Rounds of single uses that bring totals nearer to their quotas.
+REFINEMENTS = 6
+#: Rows up to which intervals are broadcast: one per membership pattern and source.
+BROADCAST_INTERVALS = 100_000
 
 
 def source_key(source: Column) -> Column:
@@ -82,20 +86,6 @@ def plan(patterns: dict[tuple[str, ...], float], shares: dict[str, float], repea
     return Plan(total, {k: net.flow_on(i) for k, i in routes.items() if net.flow_on(i) > 0.5})
 
 
-def _pick(columns: list[str]):
-    def pick(rows: pd.DataFrame) -> pd.DataFrame:
-        """Documents behind an interval's end that fit into what is missing, in seeded order."""
-        rows = rows.sort_values(["start", "text_id"])
-        missing, out = int(rows["missing"].iloc[0]), []
-        for row in rows.itertuples():
-            if row.tokens <= missing:
-                missing -= row.tokens
-                out.append((row.text_id, row.source))
-        return pd.DataFrame(out, columns=columns)
-
-    return pick
-
-
 def mix(documents: DataFrame, targets: DataFrame, total_tokens: float | None = None, buckets: int = BUCKETS, seed: int = SEED) -> DataFrame:
     """``doc_id, source, tokens, uses``: how often each document is used, one row per document with a positive size.
 
@@ -118,48 +108,77 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: float | None = N
     texts = cut(texts.withColumn("bucket", F.pmod(F.xxhash64("text_id", F.lit(seed)), F.lit(buckets))))
 
     sums = cut(texts.groupBy("pattern", "bucket").agg(F.sum("tokens").alias("tokens")))
-    weights = {tuple(r.pattern): float(r.tokens) for r in sums.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).collect()}
-    decided = plan(weights, {s: w for s, (w, _) in wanted.items()}, {s: m for s, (_, m) in wanted.items()}, total_tokens)
-
-    intervals = []
-    for p in sorted(weights):
-        begin = 0.0
-        for s in p:
-            if amount := decided.allocation.get((p, s), 0.0):
-                intervals.append((list(p), s, begin, begin + amount, weights[p], len(p) == 1))
-                begin += amount
-    shape = "pattern array<string>, source string, begin double, finish double, around double, alone boolean"
-    taken = F.broadcast(spark.createDataFrame(intervals, shape))  # a row per pattern and source
+    weights = {tuple(r.pattern): int(r.tokens) for r in sums.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).collect()}
+    decided = plan({p: float(w) for p, w in weights.items()}, {s: w for s, (w, _) in wanted.items()}, {s: m for s, (_, m) in wanted.items()}, total_tokens)
+    quota = {s: round(w * decided.total) for s, (w, _) in wanted.items()}
 
     before = F.sum("tokens").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sums.select("pattern", "bucket", F.coalesce(before, F.lit(0)).alias("offset"))
     within = F.sum("tokens").over(Window.partitionBy("pattern", "bucket").orderBy(F.xxhash64("text_id", F.lit(seed + 1)), "text_id").rowsBetween(Window.unboundedPreceding, -1))
-    line = texts.withColumn("inside", F.coalesce(within, F.lit(0))).join(offsets, ["pattern", "bucket"]).withColumn("start", F.col("offset") + F.col("inside"))
-    line = line.select("text_id", "pattern", "tokens", "copies", "start").join(taken, "pattern")
-    # A pattern of one source uses a document only while it ends within the interval; in shared ones its start decides.
-    rounds = lambda x: F.ceil((x - F.col("start")) / F.col("around"))
-    whole = F.floor((F.col("finish") - F.col("start") - F.col("tokens")) / F.col("around")) + 1
-    uses = F.when(F.col("alone"), F.greatest(whole, F.lit(0))).otherwise(F.greatest(rounds(F.col("finish")), F.lit(0)) - F.greatest(rounds(F.col("begin")), F.lit(0)))
-    line = cut(line.withColumn("uses", uses.cast("int")))
-
-    quota = {s: w * decided.total for s, (w, _) in wanted.items()}
-    used = {r.source: int(r.used) for r in line.groupBy("source").agg(F.sum(F.col("tokens") * F.col("uses")).alias("used")).collect()}
-    rest = [(s, int(quota[s] - used[s])) for s in sorted(used) if quota[s] - used[s] >= 1]
-    missing = F.broadcast(spark.createDataFrame(rest, "source string, missing long"))
-    # Behind the end of the interval, as far as FILL_IN documents of mean size reach; a text there has a use less than those before.
-    edge = F.col("finish") - F.floor(F.col("finish") / F.col("around")) * F.col("around")
-    mean_size = line.groupBy("source").agg(F.avg("tokens").alias("mean_size"))
-    behind = line.where("alone").join(missing, "source").join(F.broadcast(mean_size), "source")
-    behind = behind.where((F.col("start") + F.col("tokens") > edge) & (F.col("start") <= edge + FILL_IN * F.col("mean_size")))
-    caps = F.broadcast(spark.createDataFrame([(s, m) for s, (_, m) in sorted(wanted.items())], "source string, cap int"))
-    behind = behind.join(caps, "source").where("uses < cap").select("text_id", "source", "tokens", "start", "missing")
-    added = behind.groupBy("source").applyInPandas(_pick(["text_id", "source"]), behind.select("text_id", "source").schema)
-    by_text = line.select("text_id", "source", "uses", "copies").join(added.withColumn("more", F.lit(1)), ["text_id", "source"], "left")
-    chosen = by_text.select("source", (F.col("uses") + F.coalesce("more", F.lit(0))).alias("uses"), F.explode("copies").alias("copy")).where("copy.source = source AND uses > 0")
-    chosen = chosen.select(F.col("copy.doc_id").alias("doc_id"), "uses")
+    line = texts.withColumn("inside", F.coalesce(within, F.lit(0))).join(offsets, ["pattern", "bucket"])
+    # Twice the position of a document's middle, a whole number.
+    line = cut(line.select("text_id", "pattern", "tokens", "copies", (2 * (F.col("offset") + F.col("inside")) + F.col("tokens")).alias("middle")))
+
+    def with_uses(rows: DataFrame, intervals: list[tuple]) -> DataFrame:
+        """``text_id, source, doc_id, tokens, cap, uses`` of each text and source of the intervals ``pattern, source, begin, finish, around, cap``."""
+        taken = spark.createDataFrame(intervals, "pattern array<string>, source string, begin long, finish long, around long, cap int")
+        met = rows.join(F.broadcast(taken) if len(intervals) <= BROADCAST_INTERVALS else taken, "pattern")
+        rounds = lambda c: F.greatest(F.ceil((2 * F.col(c) - F.col("middle")) / (2 * F.col("around"))), F.lit(0))
+        doc_id = F.filter("copies", lambda c: c["source"] == F.col("source"))[0]["doc_id"]
+        return met.select("text_id", "source", doc_id.alias("doc_id"), "tokens", "cap", (rounds("finish") - rounds("begin")).cast("int").alias("uses"))
+
+    def used_by(uses: DataFrame) -> dict[str, int]:
+        return {r.source: int(r.used) for r in uses.groupBy("source").agg(F.sum(F.col("tokens") * F.col("uses")).alias("used")).collect()}
+
+    shared, alone = [], []
+    for p in sorted(weights):
+        begin = 0
+        for s in p:
+            if len(p) > 1:
+                finish = begin + min(round(decided.allocation.get((p, s), 0.0)), weights[p] * wanted[s][1])
+                shared.append((list(p), s, begin, finish, weights[p], wanted[s][1]))
+                begin = finish
+    of_shared = cut(with_uses(line.where("size(pattern) > 1"), shared))
+    used = used_by(of_shared)
+    for p in sorted(weights):
+        if len(p) == 1:
+            finish = max(min(quota[p[0]] - used.get(p[0], 0), weights[p] * wanted[p[0]][1]), 0)
+            alone.append((list(p), p[0], 0, finish, weights[p], wanted[p[0]][1]))
+    uses = cut(of_shared.unionByName(with_uses(line.where("size(pattern) = 1"), alone)))
+    used = used_by(uses)
+
+    changes: dict[tuple[str, str], int] = {}
+    for _ in range(REFINEMENTS):
+        rest = [(s, quota[s] - used[s]) for s in sorted(used) if quota[s] != used[s] and quota[s] > 0]
+        if not rest:
+            break
+        # A row per source and round.
+        open_ = _changed(uses, changes).join(F.broadcast(spark.createDataFrame(rest, "source string, rest long")), "source")
+        size = F.col("tokens")
+        step = F.when((F.col("rest") > 0) & (F.col("uses") < F.col("cap")), F.lit(1)).when((F.col("rest") < 0) & (F.col("uses") > 0), F.lit(-1))
+        near = F.abs(F.col("rest") - step * size)
+        best = open_.where(step.isNotNull() & (near < F.abs("rest"))).groupBy("source").agg(
+            F.min(F.struct(near.alias("near"), F.xxhash64("text_id", F.lit(seed + 2)).alias("order"), F.col("text_id").alias("text_id"), step.alias("step"), size.alias("tokens"))).alias("best")
+        )
+        found = best.select("source", "best.*").collect()
+        if not found:
+            break
+        for r in found:
+            changes[r.text_id, r.source] = changes.get((r.text_id, r.source), 0) + r.step
+            used[r.source] += r.step * r.tokens
+    chosen = _changed(uses, changes).where("uses > 0").select("doc_id", "uses")
     return docs.join(chosen, "doc_id", "left").select("doc_id", "source", "tokens", F.coalesce("uses", F.lit(0)).alias("uses"))
 
 
+def _changed(uses: DataFrame, changes: dict[tuple[str, str], int]) -> DataFrame:
+    """``uses`` with the changes of single uses: one per source and round at most."""
+    if not changes:
+        return uses
+    rows = uses.sparkSession.createDataFrame([(t, s, n) for (t, s), n in sorted(changes.items())], "text_id string, source string, change int")
+    joined = uses.join(F.broadcast(rows), ["text_id", "source"], "left")
+    return joined.withColumn("uses", (F.col("uses") + F.coalesce("change", F.lit(0))).cast("int")).drop("change")
+
+
 def share_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """Target and actual share per source: ``source, target_share, max_repeats, n_docs, available_tokens, used_docs, used_tokens, max_uses, actual_share``.
 

@@ -11,7 +11,7 @@
 4. Decoding: beam search along the chain for the most probable combination of subjects.
 
 Training uses at most ``MAX_LABELLED`` documents with reviewed subjects (a seeded sample beyond); everything else covers all
-documents. The model's size is bounded by that sample and ``MAX_TERMS``, so it is broadcast.
+documents. The model holds every term that two of those documents share; the sample bounds its size, so it is broadcast.
 """
 
 from __future__ import annotations
@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 
 from specloom.session import spread
 
-#: Labelled documents used for training, terms kept, and beam width.
+#: Labelled documents used for training, and beam width.
 MAX_LABELLED = 6_000
-MAX_TERMS = 60_000
 BEAM = 6
 SEED = 17
 
@@ -225,7 +224,7 @@ def fit_terms(texts: list[str], labels: list[set[str]], subjects: list[str], sou
     seen: Counter[str] = Counter()
     for text in texts:
         seen.update({t for s, _ in sentences(text) for t in terms(s)})
-    kept = sorted((t for t, c in seen.items() if c >= 2), key=lambda t: (-seen[t], t))[:MAX_TERMS]
+    kept = sorted((t for t, c in seen.items() if c >= 2), key=lambda t: (-seen[t], t))
     vocabulary = {t: i for i, t in enumerate(kept)}
     index = Index(vocabulary)
     ids, starts, owner, _ = _encode(texts, index)
@@ -383,8 +382,11 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, limit: int = MAX_LA
     """
     reviewed = labels.where("doc_id IS NOT NULL AND subject IS NOT NULL").groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("subjects"))
     chosen = reviewed.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(limit)
-    # The limit bounds what is broadcast, so the texts are not shuffled.
-    rows = documents.select("doc_id", "text", "source").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    chosen = chosen.toPandas()
+    # The limit bounds the keys; as literals they reach the reader, which skips what lies outside them, and the texts are not shuffled.
+    ids = [int(i) for i in chosen["doc_id"]]
+    keys = documents.sparkSession.createDataFrame([(int(i), list(s)) for i, s in zip(chosen["doc_id"], chosen["subjects"])], "doc_id long, subjects array<string>")
+    rows = documents.select("doc_id", "text", "source").where(F.col("doc_id").isin(ids) & F.col("text").isNotNull()).join(F.broadcast(keys), "doc_id")
     return rows.select("doc_id", "text", "source", "subjects").toPandas().sort_values("doc_id", kind="stable")
 
 

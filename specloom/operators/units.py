@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from specloom.operators.pairs import record_pairs
 from specloom.session import cut
 
 #: A posterior below this flags an inferred unit as uncertain; uncertain cells match nothing.
@@ -150,7 +151,9 @@ _DIMENSIONS = {name: _Spellings(units) for name, units in UNITS.items()}
 # A figure: digits grouped by single blanks before exactly three digits, commas and dots, then a power of ten or a vulgar fraction.
 _DIGITS = r"(?:\d{1,3}(?: \d{3})+(?!\d)|\d+)(?:[.,]\d+)*"
 _FIGURE = rf"(?:{_DIGITS})(?:\s?x\s?10\s?\^\s?[-+]?\d+|(?:[eE][-+]?\d+)(?![A-Za-z])|\s\d+/\d+|/\d+(?=\s?(?:\"|in)))?"
-_STATED = re.compile(r"(?:\bin|\bas|\bgives|\bgiven in)\s+$")
+# What comes before the unit that a condition states for the figures.
+_STATES = r"(?:\b(?:in|as|gives?)\s+|\b(?:units?|Einheit(?:en)?)(?:\s+(?:is|are|ist))?\s*[:=]?\s*|单位\s*[:：=]?\s*)"
+_STATED = re.compile(_STATES + "$", re.IGNORECASE)
 _SCALE = re.compile(r"(?:^|[;,]\s*)x\s?(10+)\b|\bin (thousand|million|hundred)s?\b(?! of BTU)", re.IGNORECASE)
 _RATIO = re.compile(r"fraction of one|\bratio\b|\b1 = full\b", re.IGNORECASE)
 _SCALES = {"hundred": 1e2, "thousand": 1e3, "million": 1e6}
@@ -281,8 +284,8 @@ def field_dimensions(cells: DataFrame) -> DataFrame:
 
     Cells are first counted per field and spelling, so a frequent field costs one row per spelling.
     """
-    said = F.regexp_extract(F.coalesce("condition", F.lit("")), r"(?:\bin|\bas|\bgives) ([A-Za-z ]+)$", 1)
-    beside = F.regexp_extract(F.coalesce("expect", F.lit("")), r"^[^0-9]*[0-9][0-9.,  \s]*([^0-9.,\s(][^0-9(]{0,24}?)\s*$", 1)
+    said = F.regexp_extract(F.coalesce("condition", F.lit("")), "(?i)" + _STATES + r"([^0-9,;()]+?)\s*(?:[,;(]|\.?$)", 1)
+    beside = F.regexp_extract(F.coalesce("expect", F.lit("")), r"^[^0-9]*[0-9][0-9.,  \s]*([^0-9.,\s(][^0-9(]*?)\s*$", 1)
     spelt = cells.where("field IS NOT NULL").groupBy("field", "unit", said.alias("said"), beside.alias("beside")).count()
     votes = spelt.withColumn("dimension", _dimension_of("unit", "said", "beside")).where("dimension IS NOT NULL")
     counted = votes.groupBy("field", "dimension").agg(F.sum("count").alias("n"))
@@ -391,13 +394,19 @@ def quantities(cells: DataFrame) -> DataFrame:
     return stated.unionByName(inferred)
 
 
-def same_quantities(q: DataFrame) -> DataFrame:
-    """Pairs ``map_id_a < map_id_b`` of one product and field whose values in the common unit agree at both ends.
+def quantity_classes(q: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells of one product and field with the same value, and the classes of nearly the same value.
 
-    Values are binned by the allowed difference, so that agreeing cells lie in the same or the next bin; a cell meets only
-    those, and the exact condition follows. Null products and uncertain cells are in no pair.
+    Members are ``class_id, n, map_id``, a class being one product, field and value in the common unit and its id the smallest map_id of it and n its cells; links are ``a, b, n_a, n_b``
+    with a < b, classes whose values agree at both ends. However often a value is stated, it is compared once. Values are binned by the allowed
+    difference, so that agreeing ones lie in the same or the next bin; a class meets only those, and the exact condition follows. Null products
+    and uncertain cells are in no class.
     """
     usable = q.where("NOT uncertain AND product IS NOT NULL AND field IS NOT NULL AND map_id IS NOT NULL")
+    value = ["product", "field", "dimension", "low", "high"]
+    cells = cut(usable.select("map_id", *value).distinct())
+    classes = cut(cells.groupBy(*value).agg(F.min("map_id").alias("class_id"), F.count(F.lit(1)).alias("n")))
+    members = cells.join(classes, value).select("class_id", "n", "map_id")
     is_t = F.col("dimension") == "temperature"
     step = float(-np.log(1 - SAME_SHARE) * 1.000001)
     bin_ = (
@@ -406,10 +415,10 @@ def same_quantities(q: DataFrame) -> DataFrame:
         .otherwise(F.floor(F.log(F.abs("low")) / F.lit(step)))
     )
     side = F.when(is_t, F.lit(0)).otherwise(F.signum("low").cast("int"))
-    binned = usable.select("map_id", "product", "field", "dimension", "low", "high", side.alias("side"), bin_.cast("long").alias("bin"))
-    left = binned.select(*(F.col(c).alias(f"l_{c}") if c in ("map_id", "low", "high", "bin") else F.col(c) for c in binned.columns)).withColumn("at", F.col("l_bin"))
+    binned = classes.select("class_id", "n", *value, side.alias("side"), bin_.cast("long").alias("bin"))
+    left = binned.select("product", "field", "dimension", "side", F.struct("class_id", "n").alias("l"), F.col("low").alias("l_low"), F.col("high").alias("l_high"), F.col("bin").alias("at"))
     right = binned.select(
-        "product", "field", "dimension", "side", F.col("map_id").alias("r_map_id"), F.col("low").alias("r_low"), F.col("high").alias("r_high"), F.col("bin").alias("r_bin"),
+        "product", "field", "dimension", "side", F.struct("class_id", "n").alias("r"), F.col("low").alias("r_low"), F.col("high").alias("r_high"), F.col("bin").alias("r_bin"),
         F.explode(F.array(F.col("bin"), F.col("bin") - 1)).alias("at"),
     )
 
@@ -417,6 +426,19 @@ def same_quantities(q: DataFrame) -> DataFrame:
         limit = F.when(is_t, F.lit(SAME_DEGREES)).otherwise(F.greatest(F.abs(a), F.abs(b)) * SAME_SHARE)
         return F.abs(F.col(a) - F.col(b)) <= limit + F.greatest(F.abs(a), F.abs(b)) * 1e-9 + 1e-12
 
-    once = (F.col("l_bin") != F.col("r_bin")) | (F.col("l_map_id") < F.col("r_map_id"))
-    pairs = left.join(right, ["product", "field", "dimension", "side", "at"]).where(once & close("l_low", "r_low") & close("l_high", "r_high") & (F.col("l_map_id") != F.col("r_map_id")))
-    return pairs.select(F.least("l_map_id", "r_map_id").alias("map_id_a"), F.greatest("l_map_id", "r_map_id").alias("map_id_b")).distinct()
+    once = (F.col("at") != F.col("r_bin")) | (F.col("l.class_id") < F.col("r.class_id"))
+    other = F.col("l.class_id") != F.col("r.class_id")
+    met = left.join(right, ["product", "field", "dimension", "side", "at"]).where(once & other & close("l_low", "r_low") & close("l_high", "r_high"))
+    first, second = F.least("l", "r"), F.greatest("l", "r")
+    # Two bins of the right side lie apart, so a pair of classes is met once.
+    return members, met.select(first["class_id"].alias("a"), second["class_id"].alias("b"), first["n"].alias("n_a"), second["n"].alias("n_b"))
+
+
+def same_quantities(q: DataFrame) -> DataFrame:
+    """Pairs ``map_id_a < map_id_b`` of one product and field whose values in the common unit agree at both ends: ``quantity_classes``, expanded."""
+    members, links = quantity_classes(q)
+    members = cut(members)
+    itself = members.where("class_id = map_id AND n > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b"), F.col("n").alias("n_a"), F.col("n").alias("n_b"))
+    pairs = record_pairs(links.unionByName(itself), members.withColumnRenamed("map_id", "record_key"))
+    # A class with itself gives each pair in both orders.
+    return pairs.where("key_1 <> key_2").select(F.least("key_1", "key_2").alias("map_id_a"), F.greatest("key_1", "key_2").alias("map_id_b")).distinct()

@@ -93,13 +93,20 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return units.same_quantities(_quantities(spark, d))
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every usable cell with the class of its value, and the number of other classes whose values state the same quantity."""
+    members, links = units.quantity_classes(_quantities(spark, d))
+    ends = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_linked"))
+    return members.join(ends, "class_id", "left").select("map_id", "class_id", F.coalesce("n_linked", F.lit(0)).alias("n_linked"))
+
+
 def p5_quantities(spark: SparkSession, d: str) -> DataFrame:
     """Every measured cell in its common unit."""
     q = _quantities(spark, d)
     return q.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_current, p3_merged, p4_found, p4_report, p5_found, p5_quantities)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_current, p3_merged, p4_found, p4_report, p5_found, p5_classes, p5_quantities)}
 
 _P1_SQL = r"""
 WITH p AS (

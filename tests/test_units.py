@@ -6,7 +6,8 @@ import random
 import pandas as pd
 import pytest
 
-from specloom.operators.units import _number, fit_units, quantities, read_cell, same_quantities, to_common
+from specloom.operators.pairs import record_pairs
+from specloom.operators.units import _number, field_dimensions, fit_units, quantities, quantity_classes, read_cell, same_quantities, to_common
 
 CELLS = [
     ("power", "27.9 kW [27900 W]", "kW [W]", None, 27900, 27900),
@@ -111,6 +112,32 @@ def test_quantities_and_pairs_against_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want and want
 
 
+def test_hot_field(spark):
+    """A hundred times as many cells in one field of one product: values are compared once, their cells only for the pairs asked for."""
+    rows = [(i, "p", "rack.height", "mm", None, ("2000", "2010", "2100")[i % 3]) for i in range(1500)] + [(5000, "p", "rack.height", "cm", None, "200")]
+    q = quantities(spark.createDataFrame(rows, SCHEMA))
+    members, links = quantity_classes(q)
+    assert members.count() == 1501 and members.select("class_id").distinct().count() == 3 and links.count() == 1
+    assert same_quantities(q).count() == 1001 * 1000 // 2 + 500 * 499 // 2
+
+
+def test_blocks_give_every_pair_once(spark):
+    members = spark.createDataFrame([(1, 90, f"a{i}") for i in range(90)] + [(2, 7, f"b{i}") for i in range(7)], "class_id long, n long, record_key string")
+    links = spark.createDataFrame([(2, 1, 7, 90, "x"), (2, 2, 7, 7, "y")], "a long, b long, n_a long, n_b long, tag string")
+    got = [(r.tag, r.key_1, r.key_2) for r in record_pairs(links, members, 8).collect()]
+    assert len(got) == len(set(got)) == 90 * 7 + 49 and {x[1] for x in got if x[0] == "x"} == {f"a{i}" for i in range(90)}
+
+
+@pytest.mark.parametrize("condition,unit", [("figures in kW", "kW"), ("Units: BTU/h; at 35 °C", "BTU/h"), ("Einheit: kW", "kW"), ("单位：kW", "kW"), ("given as kilowatts, at full load", "kW"), ("at 35 °C", None)])
+def test_units_that_a_condition_states(condition, unit):
+    assert read_cell("power", "12.5", None, condition)[2] == unit
+
+
+def test_field_of_a_long_unit(spark):
+    rows = [(i, "p", "cooling", None, None, f"{i + 10} British thermal units per hour") for i in range(3)]
+    assert [tuple(r) for r in field_dimensions(spark.createDataFrame(rows, SCHEMA)).collect()] == [("cooling", "power")]
+
+
 def test_missing_unit_is_inferred_and_flagged(spark):
     rows = [(i, f"p{i}", "rack.height", "mm", None, str(1900 + i % 200)) for i in range(400)]
     rows += [(1000, "p1", "rack.height", "-", None, "78.7"), (1001, "p1", "rack.height", None, None, "2000"), (1002, "p2", "x.only", None, None, "12")]

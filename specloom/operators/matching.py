@@ -7,32 +7,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rules broadcast at most; a rule set is a vocabulary, and beyond this an error says so.
+#: Rules up to which a rule table is broadcast; beyond, it is joined by shuffle.
 MAX_RULES = 100_000
 
 
 def small(rules: DataFrame) -> DataFrame:
-    """A rule table for broadcasting, its size checked."""
-    if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
-        raise ValueError(f"a rule table has more than {MAX_RULES} rows")
-    return F.broadcast(rules)
+    """A rule table, marked for broadcast where its checked size allows."""
+    return F.broadcast(rules) if rules.limit(MAX_RULES + 1).count() <= MAX_RULES else rules
 
 
 def longest_prefix(df: DataFrame, text: Column, rules: DataFrame) -> DataFrame:
     """Rows with ``alias, owners`` of the longest aliases that start the text (sorted owners, as several may share it); null where none does.
 
     ``rules`` has ``alias, owner``. An alias counts after leading blanks, without regard to case, and if no ASCII letter or digit follows. Instead of
-    comparing every row with every rule, the text's prefixes of the lengths that aliases have are looked up by equality.
+    comparing every row with every rule, the prefixes of distinct texts are looked up, of the lengths that aliases have; a text then knows its alias, and
+    the rows get theirs by their text.
     """
     r = rules.select(F.lower("alias").alias("alias"), "owner").where("alias <> ''").distinct()
     grouped = r.groupBy("alias").agg(F.array_sort(F.collect_set("owner")).alias("owners"))
     lengths = [x.n for x in r.select(F.length("alias").alias("n")).distinct().orderBy("n").collect()]  # as many as aliases have lengths
     start = F.lower(F.ltrim(text))
-    cuts = F.array(*(F.when((F.length(start) >= n) & ~F.substring(start, n + 1, 1).rlike("[a-z0-9]"), F.substring(start, 1, n)) for n in lengths)) if lengths else F.array().cast("array<string>")
-    keyed = df.withColumn("__row", F.monotonically_increasing_id()).withColumn("__cut", F.explode_outer(F.filter(cuts, lambda c: c.isNotNull())))
-    hit = keyed.join(small(grouped), keyed["__cut"] == F.col("alias"), "left")
-    best = hit.groupBy("__row", *df.columns).agg(F.max_by(F.struct("alias", "owners"), F.when(F.col("alias").isNotNull(), F.length("alias"))).alias("m"))
-    return best.select(*df.columns, "m.alias", "m.owners")
+    keyed = df.withColumn("__start", F.when(start != "", F.substring(start, 1, lengths[-1] + 1) if lengths else None))
+    starts = keyed.select("__start").where("__start IS NOT NULL").distinct()
+    cuts = F.array(*(F.when((F.length("__start") >= n) & ~F.substring("__start", n + 1, 1).rlike("[a-z0-9]"), F.substring("__start", 1, n)) for n in lengths)) if lengths else F.array().cast("array<string>")
+    hit = starts.withColumn("alias", F.explode(F.filter(cuts, lambda c: c.isNotNull()))).join(small(grouped), "alias")
+    best = hit.groupBy("__start").agg(F.max_by(F.struct("alias", "owners"), F.length("alias")).alias("__m"))
+    # Only texts that some alias starts are joined; the others, and blank ones, would be one group of nulls.
+    found = keyed.join(best, "__start").select(*df.columns, "__m.alias", "__m.owners")
+    known = best.select("__start")
+    rest = keyed.where("__start IS NULL").drop("__start").unionByName(keyed.where("__start IS NOT NULL").join(known, "__start", "left_anti").drop("__start"))
+    return found.unionByName(rest.withColumns({"alias": F.lit(None).cast("string"), "owners": F.lit(None).cast("array<string>")}))
 
 
 def consumed_aliases(text: Column, aliases: Sequence[tuple[str, str]]) -> Column:
@@ -107,7 +111,7 @@ def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def rejects(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
-    """Rows that break rules, with ``reasons``; a rule that is null counts as broken. Empty means that the whole batch may be written."""
+    """Rows that break rules, with ``reasons``; a rule that is null counts as broken. Empty means that the whole batch may be written (``ingest.accepted``)."""
     reasons = F.filter(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules)), lambda r: r.isNotNull())
     return df.withColumn("reasons", reasons).where(F.size("reasons") > 0)
 

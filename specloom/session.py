@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPECLOOM_DRIVER_MEMORY", "8g"))
@@ -30,12 +33,17 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the cluster's ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder for checkpoints: the cluster's ``spark.checkpoint.dir``; one of our own only where that is unset and all tasks share this machine."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="specloom-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="specloom-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return folder
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from specloom.functions.ids import order_free_digest
 from specloom.functions.text import csv_safe
+from specloom.operators.sequences import greedy_batches
 from specloom.operators.versions import new_blobs
+from specloom.session import cut
 from specloom.sources.readers import table_or_empty
 
 
@@ -19,12 +21,10 @@ def put_blobs(incoming: DataFrame, path: str) -> DataFrame:
     spark = incoming.sparkSession
     hashed = incoming.where("content IS NOT NULL").withColumn("sha256", F.sha2("content", 256)).select("sha256", "content", F.length("content").alias("bytes"))
     known = table_or_empty(spark, path, "sha256 string, content binary, bytes int, bucket string").select("sha256")
-    fresh = new_blobs(hashed, known).withColumn("bucket", F.left("sha256", F.lit(2)))
-    # Which ones are new is settled before the append changes the store.
-    keys = fresh.select("sha256", "bytes").checkpoint() if spark.sparkContext.getCheckpointDir() else fresh.select("sha256", "bytes").persist()
-    keys.count()
+    # Which ones are new is settled, and their contents kept, before the append changes the store; a lost executor then changes neither.
+    fresh = cut(new_blobs(hashed, known).withColumn("bucket", F.left("sha256", F.lit(2))))
     fresh.write.mode("append").partitionBy("bucket").parquet(path)
-    return keys
+    return fresh.select("sha256", "bytes")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -74,11 +74,11 @@ def package_problems(items: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def batch_files(df: DataFrame, group: list[str], order: list[str], size: str, limit: int, path: str) -> None:
-    """Bounded batches of rows in order, a directory per batch."""
-    from specloom.operators.sequences import greedy_batches
-
+    """Bounded batches of each group's rows in order, a directory per group and batch; an item beyond the limit is refused before anything is written."""
+    if not df.where(F.col(size) > limit).isEmpty():
+        raise ValueError(f"an item is larger than a batch of {limit}")
     batches = greedy_batches(df, group, order, size, limit)
-    batches.write.mode("overwrite").partitionBy("batch_no").parquet(path)
+    batches.write.mode("overwrite").partitionBy(*group, "batch_no").parquet(path)
 
 
 def with_serial(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:

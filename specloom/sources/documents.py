@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import gzip
 import io
 import json
@@ -9,9 +10,10 @@ import re
 import zipfile
 from xml.etree import ElementTree
 
-#: Limits of what is unpacked from one file.
+#: Limits of what is unpacked from one file.
 PART_BYTES, ARCHIVE_BYTES, PAGE_BYTES = 16 << 20, 128 << 20, 16 << 20
 
+# Names of the office formats' published XML vocabularies.
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
@@ -139,6 +141,12 @@ def _column(reference: str) -> int:
     return n
 
 
+def _shared(strings: list[str], number: str) -> str:
+    if not number.isdigit() or int(number) >= len(strings):
+        raise ValueError(f"a cell names the shared string {number} of {len(strings)}")
+    return strings[int(number)]
+
+
 def _xlsx(parts: _Parts) -> list[dict]:
     shared_root = parts.xml("xl/sharedStrings.xml")
     shared = ["".join(t.text or "" for t in si.iter(f"{_S}t")) for si in shared_root.iter(f"{_S}si")] if shared_root is not None else []
@@ -159,7 +167,7 @@ def _xlsx(parts: _Parts) -> list[dict]:
             for c in row.findall(f"{_S}c"):
                 value, formula = c.find(f"{_S}v"), c.find(f"{_S}f")
                 raw = value.text or "" if value is not None else ""
-                text = shared[int(raw)] if c.get("t") == "s" and raw else "".join(t.text or "" for t in c.iter(f"{_S}t")) if c.get("t") == "inlineStr" else raw
+                text = _shared(shared, raw) if c.get("t") == "s" and raw else "".join(t.text or "" for t in c.iter(f"{_S}t")) if c.get("t") == "inlineStr" else raw
                 colspan, rowspan = spans.get(c.get("r", ""), (1, 1))
                 cells.append({"text": text, "header": False, "colspan": colspan, "rowspan": rowspan, "coordinate": c.get("r"), "formula": None if formula is None else formula.text, "style_index": int(c.get("s", 0))})
             if cells:
@@ -203,10 +211,11 @@ def extract(body: bytes | None, kind: str | None) -> dict:
         if kind in ("docx", "xlsx", "pptx"):
             return {"tables": office_tables(body, kind), "method": "office", "status": "extracted", "uncertainty": None}
         if kind == "csv":
-            rows = [[{"text": t.strip(), "header": False, "colspan": 1, "rowspan": 1} for t in line.split(",")] for line in body.decode("utf-8", "replace").splitlines() if line.strip()]
+            lines = csv.reader(io.StringIO(body.decode("utf-8-sig", "replace"), newline=""))
+            rows = [[{"text": t.strip(), "header": False, "colspan": 1, "rowspan": 1} for t in line] for line in lines if any(t.strip() for t in line)]
             return {"tables": [{"index": 1, "section": "", "rows": rows}] if rows else [], "method": "csv", "status": "extracted", "uncertainty": None}
-    except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as e:
-        return {"tables": [], "method": kind, "status": "failed", "uncertainty": str(e)}
+    except Exception as e:  # noqa: BLE001  a damaged, encrypted or contradictory file must not end the job that reads the others
+        return {"tables": [], "method": kind, "status": "failed", "uncertainty": f"{type(e).__name__}: {e}"}
     return {"tables": [], "method": kind, "status": "review_required", "uncertainty": "no native tables in this format"}
 
 
@@ -305,18 +314,24 @@ def matrix_columns(lines: list[str]) -> list[tuple[str, list[tuple[str, str]]]]:
 
 # Records inside scripts and JSON.
 
-def component_rows(text: str) -> tuple[list[tuple[str, str]], str]:
-    """Name and value pairs of a component answer, exact duplicates once, in order; and a status."""
-    missing = "review_required_no_native_specification"
+# Names of the members of a component answer.
+COMPONENT_ROWS, COMPONENT_CODE, COMPONENT_TITLE = "details", "response-code", "part-title"
+
+
+def component_rows(text: str, rows: str = COMPONENT_ROWS, code: str = COMPONENT_CODE) -> tuple[list[tuple[str, str]], str]:
+    """Name and value pairs of a component answer, exact duplicates once, in order; and ``extracted`` or ``nothing_stated``.
+
+    Pairs that are no text or blank on either side are left out; an answer whose code is not 200 states nothing.
+    """
     try:
         data = json.loads(text)
-    except ValueError:
-        return [], missing
-    if not isinstance(data, dict) or data.get("code", 200) != 200:
-        return [], missing
-    pairs = [((str(r.get("name") or "")).strip(), (str(r.get("value") or "")).strip()) for r in data.get("rows", []) if isinstance(r, dict)]
-    kept = list(dict.fromkeys(p for p in pairs if p[0] and p[1]))
-    return kept, "extracted" if kept else missing
+    except (ValueError, RecursionError):
+        data = None
+    if not isinstance(data, dict) or str(data.get(code)) != "200" or not isinstance(data.get(rows), list):
+        return [], "nothing_stated"
+    stated = ((r.get("name"), r.get("value")) for r in data[rows] if isinstance(r, dict))
+    pairs = dict.fromkeys((n.strip(), v.strip()) for n, v in stated if isinstance(n, str) and isinstance(v, str) and n.strip() and v.strip())
+    return list(pairs), "extracted" if pairs else "nothing_stated"
 
 
 _LITERAL = re.compile(r'\s*(?:(?P<string>"(?:[^"\\]|\\.)*"|\'(?:[^\'\\]|\\.)*\')|(?P<number>-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)|(?P<bool>!0|!1)|(?P<word>[A-Za-z_$][\w$]*)|(?P<mark>[{}\[\]:,]))')

@@ -1,8 +1,9 @@
 """Writers, and streams against their batch form."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from specloom.sinks.writers import documents_export, manifest, package_problems, put_blobs, write_csv
+from specloom.sinks.writers import batch_files, documents_export, manifest, package_problems, put_blobs, write_csv
 from specloom.streaming import events as stream
 
 
@@ -61,3 +62,20 @@ def test_replay_writes_nothing(spark, tmp_path):
     write(batch, 0)
     write(batch, 0)
     assert spark.read.parquet(path).count() == 2
+    write(spark.createDataFrame([(3, "x"), (2, "late"), (None, "n")], "k int, v string"), 1)
+    write(spark.createDataFrame([(None, "n")], "k int, v string"), 2)
+    assert sorted(r.k or 0 for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3]
+
+
+def test_batches_keep_to_their_group(spark, tmp_path):
+    """Batch 1 of one group shares no directory with batch 1 of another; an oversize item is refused and nothing is written."""
+    rows = [(g, i, 4) for g in "ab" for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, i int, size int")
+    path = str(tmp_path / "batches")
+    batch_files(df, ["g"], ["i"], "size", 8, path)
+    sums = spark.read.parquet(path).groupBy("g", "batch_no").agg(F.sum("size").alias("n")).collect()
+    assert len(sums) == 6 and max(r.n for r in sums) == 8
+    assert sorted(p.name for p in (tmp_path / "batches").glob("g=*")) == ["g=a", "g=b"]
+    with pytest.raises(ValueError):
+        batch_files(df, ["g"], ["i"], "size", 3, str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()

@@ -37,13 +37,40 @@ def zipped(parts):
 
 
 W = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
-DOCX = zipped({"word/document.xml": f'<w:document {W}><w:body><w:tbl><w:tr><w:tc><w:tcPr><w:gridSpan w:val="2"/></w:tcPr><w:p><w:r><w:t>Head</w:t></w:r></w:p></w:tc></w:tr><w:tr><w:tc><w:p><w:r><w:t>A</w:t></w:r></w:p></w:tc><w:tc><w:tcPr><w:vMerge/></w:tcPr><w:p><w:r><w:t>1</w:t></w:r></w:p></w:tc></w:tr></w:tbl></w:body></w:document>'})
+REL = "http://schemas.openxmlformats.org/package/2006/relationships"
+
+
+def word_cell(text, props=""):
+    return f"<w:tc>{f'<w:tcPr>{props}</w:tcPr>' if props else ''}" + "".join(f"<w:p><w:r><w:t>{t}</w:t></w:r></w:p>" for t in text.split("|")) + "</w:tc>"
+
+
+def word_table(*rows):
+    return "<w:tbl>" + "".join(f"<w:tr>{''.join(r)}</w:tr>" for r in rows) + "</w:tbl>"
+
+
+# Two tables with text between them; in the second, spans inside a merged column.
+DOCX = zipped({
+    "word/document.xml": f"<w:document {W}><w:body>"
+    + word_table([word_cell("Rating"), word_cell("first line|second line")])
+    + "<w:p><w:r><w:t>between</w:t></w:r></w:p>"
+    + word_table([word_cell("Loads", '<w:vMerge w:val="restart"/>'), word_cell("wide", '<w:gridSpan w:val="3"/>')], [word_cell("", "<w:vMerge/>"), word_cell("a"), word_cell("b", '<w:gridSpan w:val="2"/>')])
+    + "</w:body></w:document>",
+})
 S = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+# The sheets' order in the book is not that of their files.
 XLSX = zipped({
-    "xl/workbook.xml": f'<workbook {S}><sheets><sheet name="Data" sheetId="1" r:id="r1"/></sheets></workbook>',
-    "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>',
-    "xl/sharedStrings.xml": f"<sst {S}><si><t>Name</t></si></sst>",
-    "xl/worksheets/sheet1.xml": f'<worksheet {S}><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="B1" t="inlineStr"><is><t>in</t></is></c></row><row><c r="A2" s="3"><f>1+1</f><v>2</v></c></row></sheetData><mergeCells><mergeCell ref="A1:B2"/></mergeCells></worksheet>',
+    "xl/workbook.xml": f'<workbook {S}><sheets><sheet name="Front" sheetId="9" r:id="x2"/><sheet name="Back" sheetId="4" r:id="x1"/><sheet name="Blank" sheetId="5" r:id="x3"/></sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{REL}"><Relationship Id="x1" Target="worksheets/sheet1.xml"/><Relationship Id="x2" Target="worksheets/sheet7.xml"/></Relationships>',
+    "xl/sharedStrings.xml": f"<sst {S}><si><t>unused</t></si><si><r><t>Flow </t></r><r><t>rate</t></r></si></sst>",
+    "xl/worksheets/sheet1.xml": f'<worksheet {S}><sheetData><row r="4"><c r="AB4"><v>12.5</v></c></row></sheetData></worksheet>',
+    "xl/worksheets/sheet7.xml": f'<worksheet {S}><sheetData><row><c r="C2" t="s"><v>1</v></c><c r="E2" t="inlineStr"><is><t>m3/h</t></is></c></row><row><c r="C3"><f>SUM(A1:A2)</f><v>7</v></c></row></sheetData><mergeCells><mergeCell ref="C2:D4"/></mergeCells></worksheet>',
+})
+A, P = "http://schemas.openxmlformats.org/drawingml/2006/main", "http://schemas.openxmlformats.org/presentationml/2006/main"
+PPTX = zipped({
+    "ppt/presentation.xml": f'<p:presentation xmlns:p="{P}" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><p:sldIdLst><p:sldId id="300" r:id="s2"/><p:sldId id="256" r:id="s1"/></p:sldIdLst></p:presentation>',
+    "ppt/_rels/presentation.xml.rels": f'<Relationships xmlns="{REL}"><Relationship Id="s1" Target="slides/slide1.xml"/><Relationship Id="s2" Target="slides/slide2.xml"/></Relationships>',
+    "ppt/slides/slide1.xml": f'<p:sld xmlns:p="{P}" xmlns:a="{A}"><a:tbl><a:tr><a:tc gridSpan="2"><a:txBody><a:p><a:r><a:t>Mass</a:t></a:r></a:p></a:txBody></a:tc><a:tc hMerge="1"><a:txBody/></a:tc></a:tr></a:tbl></p:sld>',
+    "ppt/slides/slide2.xml": f'<p:sld xmlns:p="{P}" xmlns:a="{A}"/>',
 })
 
 
@@ -65,12 +92,16 @@ def test_pages_as_table(spark):
 
 
 def test_office_and_kinds():
-    t = office_tables(DOCX, "docx")[0]["rows"]
-    assert t[0][0]["colspan"] == 2 and t[1][1]["vertical_merge"] == "continue"
-    x = office_tables(XLSX, "xlsx")[0]
-    assert x["section"] == "Data" and x["rows"][0][0]["text"] == "Name" and x["rows"][0][0]["colspan"] == 2 and x["rows"][1][0]["formula"] == "1+1"
-    assert [document_kind(b, u) for b, u in ((DOCX, ""), (XLSX, ""), (b"%PDF-1.4 x %%EOF", ""), (b"%PDF-1.4 cut", ""), (b"<html>", ""), (b"{}", ""), (b"a,b", "x.csv?y"), (b"", ""), (None, ""), (b"\x1f\x8b", ""))] == [
-        "docx", "xlsx", "pdf", None, "html", "json", "csv", None, None, "gzip"]
+    first, second = office_tables(DOCX, "docx")
+    assert [c["text"] for c in first["rows"][0]] == ["Rating", "first line second line"]
+    assert [(c["colspan"], c["vertical_merge"]) for r in second["rows"] for c in r] == [(1, "restart"), (3, None), (1, "continue"), (1, None), (2, None)]
+    front, back = office_tables(XLSX, "xlsx")
+    assert (front["section"], back["section"]) == ("Front", "Back") and back["rows"][0][0]["coordinate"] == "AB4"
+    assert [(c["text"], c["colspan"], c["rowspan"]) for c in front["rows"][0]] == [("Flow rate", 2, 3), ("m3/h", 1, 1)] and front["rows"][1][0]["formula"] == "SUM(A1:A2)"
+    (slide,) = office_tables(PPTX, "pptx")
+    assert slide["section"] == "slide 2" and [(c["text"], c["colspan"], c["hMerge"]) for c in slide["rows"][0]] == [("Mass", 2, 0), ("", 1, 1)]
+    assert [document_kind(b, u) for b, u in ((DOCX, ""), (XLSX, ""), (PPTX, ""), (b"%PDF-1.4 x %%EOF", ""), (b"%PDF-1.4 cut", ""), (b"<html>", ""), (b"{}", ""), (b"a,b", "x.csv?y"), (b"", ""), (None, ""), (b"\x1f\x8b", ""))] == [
+        "docx", "xlsx", "pptx", "pdf", None, "html", "json", "csv", None, None, "gzip"]
     assert extract(DOCX, "docx")["status"] == "extracted" and extract(b"PK\x03\x04", "docx")["status"] == "failed" and extract(None, None)["status"] == "unreadable"
     evil = zipped({"word/document.xml": "<!DOCTYPE x><w/>"})
     assert extract(evil, "docx")["status"] == "failed"
@@ -96,8 +127,11 @@ def test_layout_text():
 
 
 def test_records():
-    rows, status = component_rows(json.dumps({"code": 200, "rows": [{"name": " a ", "value": "1"}, {"name": "a", "value": "1"}, {"name": "", "value": "2"}]}))
-    assert rows == [("a", "1")] and status == "extracted" and component_rows('{"code":500}')[0] == [] and component_rows("x")[0] == []
+    rows, status = component_rows(json.dumps({"response-code": "200", "details": [{"name": " a ", "value": "1"}, {"name": "a", "value": "1"}, {"name": "", "value": "2"}, {"name": "n", "value": 3}]}))
+    assert rows == [("a", "1")] and status == "extracted"
+    for other in ('{"response-code":500,"details":[{"name":"a","value":"1"}]}', '{"response-code":200}', "x", "[1]", "{}"):
+        assert component_rows(other) == ([], "nothing_stated")
+    assert component_rows('{"code": 200, "rows": [{"name": "a", "value": "b"}]}', "rows", "code")[0] == [("a", "b")]
     assert script_literal("{a:'x\"y',b:[1,!0],\"c\":{d:null}}") == {"a": 'x"y', "b": [1, True], "c": {"d": None}}
     with pytest.raises(ValueError):
         script_literal("{a:f()}")
@@ -136,3 +170,22 @@ def test_files(spark, tmp_path):
     (tmp_path / "m.tsv").write_text("product\tunit\np\t-\n")
     assert tuple(delimited(spark, str(tmp_path / "m.tsv"), "product string, unit string").first()) == ("p", None)
     assert table_or_empty(spark, str(tmp_path / "none"), "a int").count() == 0
+
+
+def test_csv_with_quotes():
+    got = extract(b'\xef\xbb\xbfa,"b, c",d\r\n\r\n"two\nlines",2\n', "csv")
+    assert [[c["text"] for c in r] for r in got["tables"][0]["rows"]] == [["a", "b, c", "d"], ["two\nlines", "2"]]
+
+
+def test_damaged_files_are_reported():
+    """A workbook whose cell names a string that is not there, and a file whose compressed part is no stream, are failures of their own."""
+    parts = {n: zipfile.ZipFile(io.BytesIO(XLSX)).read(n).decode() for n in zipfile.ZipFile(io.BytesIO(XLSX)).namelist()}
+    got = extract(zipped(parts | {"xl/sharedStrings.xml": f"<sst {S}/>"}), "xlsx")
+    assert got["status"] == "failed" and "string 1 of 0" in got["uncertainty"] and got["tables"] == []
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/document.xml", "<w/>" * 500)
+    broken = bytearray(out.getvalue())
+    at = broken.index(b"word/document.xml") + len("word/document.xml")
+    broken[at : at + 12] = b"\xff" * 12
+    assert extract(bytes(broken), "docx")["status"] == "failed"

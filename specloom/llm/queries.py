@@ -135,9 +135,9 @@ c AS (SELECT * FROM r JOIN f USING (field_name, v))
 SELECT DISTINCT a.field_name, a.k AS key_a, b.k AS key_b
 FROM c a JOIN c b ON a.field_name = b.field_name AND a.look = b.look AND a.v <> b.v AND a.k < b.k""",
     "p6_complete": """
-SELECT container_kind, count(*) AS n_docs, 0 AS n_over_capacity, 0 AS n_split, 0 AS n_not_whole
+SELECT container_kind, count(*) AS n_docs, 0::bigint AS n_over_capacity, 0::bigint AS n_split, 0::bigint AS n_not_whole
 FROM (SELECT DISTINCT container_kind FROM containers), documents WHERE text IS NOT NULL AND text <> '' GROUP BY container_kind""",
     "p7_caps": r"""
-SELECT source, count(*) AS n_docs, 0 AS n_over_cap
+SELECT source, count(*) AS n_docs, 0::bigint AS n_over_cap
 FROM (SELECT regexp_replace(lower(trim(source)), '[\s_]+', '-', 'g') AS source FROM documents WHERE text IS NOT NULL AND text <> '') WHERE source <> '' GROUP BY source""",
 }

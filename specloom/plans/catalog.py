@@ -285,7 +285,14 @@ cells AS (SELECT product_id, table_index, section, row_index, unnest(CAST(row AS
 _NK = "(SELECT count(*) AS n_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows FROM (SELECT count(*) AS n FROM {t} GROUP BY {k} HAVING count(*) > 1))"
 _D = "(SELECT DISTINCT lower(trim(delivery_id)) AS delivery_id, environment FROM receipts WHERE delivery_id IS NOT NULL)"
 
+_BLANK = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
 ORACLE = {
+    "titles_clean": f"""SELECT request, trim(regexp_replace(title, '{_BLANK}', ' ', 'g')) AS collapsed, regexp_replace(title, '{_BLANK}', '', 'g') AS squeezed, coalesce('''=' || title, '') AS csv
+  FROM (SELECT DISTINCT request, title FROM pages)""",
+    "subset_names": _CUR + """, w AS (SELECT product_id, list_sort(list_distinct(regexp_extract_all(lower(name), '([a-z]+|[0-9]+)'))) AS words FROM c),
+  s AS (SELECT product_id AS evidence_id, words[1:greatest(len(words) - 1, 1)] AS few FROM w WHERE len(words) > 0)
+  SELECT evidence_id, arg_min(product_id, (len(words), product_id)) AS product_id FROM s JOIN w ON list_has_all(words, few) GROUP BY 1""",
     "product_current": _CUR + "SELECT product_id, at_us, name FROM c",
     "product_conflicts": f"SELECT product_id, {_AT} AS at_us, count(DISTINCT lower(trim(version))) AS n_contents FROM product_versions WHERE version IS NOT NULL AND payload IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT lower(trim(version))) > 1",
     "product_stale": f"SELECT DISTINCT p.product_id, epoch_us(p.observed_at::timestamptz) AS at_us FROM products p JOIN (SELECT product_id, max({_AT}) AS m FROM product_versions GROUP BY 1) v ON v.product_id = p.product_id WHERE epoch_us(p.observed_at::timestamptz) < m",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from specloom.plans import catalog, crawl, evidence, flow, problems
+from specloom.plans import carriers, catalog, crawl, evidence, flow, problems
 
-QUERIES = {**problems.QUERIES, **crawl.QUERIES, **catalog.QUERIES, **flow.QUERIES, **evidence.QUERIES}
-ORACLE = {**problems.ORACLE, **crawl.ORACLE, **catalog.ORACLE, **flow.ORACLE, **evidence.ORACLE}
+QUERIES = {**problems.QUERIES, **crawl.QUERIES, **catalog.QUERIES, **flow.QUERIES, **evidence.QUERIES, **carriers.QUERIES}
+ORACLE = {**problems.ORACLE, **crawl.ORACLE, **catalog.ORACLE, **flow.ORACLE, **evidence.ORACLE, **carriers.ORACLE}

@@ -174,3 +174,52 @@ def best_line(url: Column, lines: list[tuple[str, list[str]]]) -> Column:
 def transient_error(error: Column, prefixes: list[str]) -> Column:
     """Whether an error text starts with one of the prefixes."""
     return F.coalesce(F.exists(F.array(*map(F.lit, prefixes)), lambda p: F.startswith(error, p)), F.lit(False))
+
+
+def failure_state(status: Column, error: Column, unavailable: list[str]) -> Column:
+    """State of a fetch that failed: ``gone`` for 404 and 410, ``unavailable`` for an error that starts with one of the given texts, ``failed`` otherwise; null without an error."""
+    gone = status.isin(404, 410)
+    return F.when(error.isNull() & (status.isNull() | (status < 400)), None).when(gone, "gone").when(transient_error(error, unavailable), "unavailable").otherwise("failed")
+
+
+def retry_at(status: Column, error: Column, attempts: Column, now: Column, prefixes: list[str], wait_seconds: int = 60, most: int = 5) -> Column:
+    """When to try again, in microseconds: after a wait that doubles with each attempt, for 429, 5xx and transient errors; null for what is final."""
+    again = ((status == 429) | (status >= 500) | transient_error(error, prefixes)) & (attempts < most)
+    return F.when(again, now + (wait_seconds * 1_000_000 * F.pow(F.lit(2), attempts)).cast("long"))
+
+
+# Media types of the formats, and names of the languages.
+_MEDIA = {
+    "pdf": "application/pdf", "html": "text/html", "json": "application/json", "csv": "text/csv", "xml": "application/xml", "txt": "text/plain",
+    "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document", "xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
+    "pptx": "application/vnd.openxmlformats-officedocument.presentationml.presentation",
+}
+_LANGUAGES = {"en": "English", "zh": "Chinese", "de": "German", "ja": "Japanese", "fr": "French"}
+
+
+def _looked_up(key: Column, names: dict[str, str], otherwise: str | None) -> Column:
+    found = F.element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), F.lower(F.trim(key)))
+    return F.when(key.isNotNull(), F.coalesce(found, F.lit(otherwise)))
+
+
+def media_type(kind: Column) -> Column:
+    """The media type of a format; ``application/octet-stream`` for an unknown one, null for null."""
+    return _looked_up(kind, _MEDIA, "application/octet-stream")
+
+
+def language_name(code: Column) -> Column:
+    """The name of a language code, its region aside; null for an unknown one."""
+    return _looked_up(F.regexp_extract(code, r"^\s*([A-Za-z]+)", 1), _LANGUAGES, None)
+
+
+def scoped_identity(name: Column, path: Column, shared: list[str]) -> Column:
+    """The identity of a compared model: its name, before it the parent path where the name alone says too little (``shared``, compared without case)."""
+    parent = F.regexp_extract(path, r"([^/]+)/[^/]*/?$", 1)
+    return F.when(F.lower(name).isin([s.lower() for s in shared]) & (parent != ""), F.concat(parent, F.lit("/"), name)).otherwise(name)
+
+
+def document_literals(markup: Column) -> Column:
+    """Quoted addresses of documents anywhere in a page, scripts included, each once in order; backslashes before slashes are taken off. Stays in the JVM."""
+    plain = F.replace(markup, F.lit("\\/"), F.lit("/"))
+    pattern = r"(?i)[\"']((?:https?://|/)[^\"'<>\s]+\.(?:pdf|docx?|docm|xlsx?|xlsm|xlsb|pptx?|csv|rtf|od[tsp])(?:\?[^\"'<>\s]*)?)[\"']"
+    return F.array_distinct(F.regexp_extract_all(plain, F.lit(pattern), F.lit(1)))

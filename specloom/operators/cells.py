@@ -69,8 +69,11 @@ def table_identity(rows: Column, notes: Column) -> Column:
 def union_tables(df: DataFrame, key: list[str], identity: str, place: str, refs: str) -> DataFrame:
     """Tables of equal content once per key: the first one's columns, references of all merged and sorted."""
     rest = [c for c in df.columns if c not in (*key, identity, refs)]
-    merged = df.groupBy(*key, identity).agg(F.min_by(F.struct(*rest), place).alias("first"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(refs)))).alias(refs))
-    return merged.select(*key, identity, "first.*", refs)
+    first = df.groupBy(*key, identity).agg(F.min_by(F.struct(*rest), place).alias("first"))
+    # References are made distinct before they are listed, so a list is as long as what it holds.
+    each = df.select(*key, identity, F.explode(refs).alias("__ref")).distinct().groupBy(*key, identity).agg(F.array_sort(F.collect_list("__ref")).alias(refs))
+    empty = F.array().cast(dict(df.dtypes)[refs])
+    return first.join(each, [*key, identity], "left").select(*key, identity, "first.*", F.coalesce(refs, empty).alias(refs))
 
 
 def replace_source(old: DataFrame, new: DataFrame, refs: str, source: Column, primary: Column) -> DataFrame:

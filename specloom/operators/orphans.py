@@ -47,7 +47,7 @@ _LONG = ("parent_table", "ref_key", "parent_at", "is_parent", "is_logged", "chil
 
 
 def _parent_rows(p: Parent) -> DataFrame:
-    # Group by key here already: the map-side combine leaves one row per key for the shuffle below.
+    # Repeats of a key are combined on the map side of the one grouping below.
     rows = p.df.select(loose_key(F.col(p.key)).alias("ref_key"), instant(F.col(p.time)).alias("at"))
     return rows.where("ref_key IS NOT NULL").select(
         F.lit(p.name).alias("parent_table"), "ref_key", F.col("at").alias("parent_at"),

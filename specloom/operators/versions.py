@@ -102,9 +102,12 @@ def upsert_least(current: DataFrame, incoming: DataFrame, key: Sequence[str], le
     """Merge of two keyed sets: columns ``least`` take the smaller value, array columns ``union`` the sorted union."""
     cols = [*key, *least, *union]
     rows = current.select(*cols).unionByName(incoming.select(*cols))
-    return rows.groupBy(*key).agg(
-        *(F.min(c).alias(c) for c in least), *(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in union)
-    )
+    out = rows.groupBy(*key).agg(*(F.min(c).alias(c) for c in least))
+    for c in union:
+        # Values are made distinct before they are listed, so a list is as long as what it holds.
+        each = rows.select(*key, F.explode(c).alias("__value")).distinct().groupBy(*key).agg(F.array_sort(F.collect_list("__value")).alias(c))
+        out = out.join(each, list(key), "left").withColumn(c, F.coalesce(c, F.array().cast(dict(rows.dtypes)[c])))
+    return out.select(*cols)
 
 
 def last_wins(df: DataFrame, key: Sequence[str], place: str) -> DataFrame:

@@ -23,13 +23,14 @@ def _versions(spark: SparkSession, d: str) -> DataFrame:
     return v.select("company_id", "product_id", instant_micros(F.col("observed_at")).alias("at_us"), F.lower(F.trim("version")).alias("version"), F.from_json("payload", _PAYLOAD).alias("p"))
 
 
-def _current(spark: SparkSession, d: str) -> DataFrame:
-    v = _versions(spark, d).select("product_id", "at_us", F.col("p.name").alias("name"), F.col("p.parent_id").alias("parent_id"), F.col("p.categories").alias("categories"), F.col("p.tables").alias("tables"))
+def _current(spark: SparkSession, d: str, *fields: str) -> DataFrame:
+    """``product_id, at_us`` and the payload's ``fields`` of each product's latest observation; only they travel to it."""
+    v = _versions(spark, d).select("product_id", "at_us", *(F.col(f"p.{f}").alias(f) for f in fields))
     return versions.current_rows(v, ["product_id"], [F.col("at_us")])
 
 
 def product_current(spark: SparkSession, d: str) -> DataFrame:
-    return _current(spark, d).select("product_id", "at_us", "name")
+    return _current(spark, d, "name").select("product_id", "at_us", "name")
 
 
 def product_conflicts(spark: SparkSession, d: str) -> DataFrame:
@@ -51,38 +52,30 @@ def product_stable_since(spark: SparkSession, d: str) -> DataFrame:
 
 def product_parents_missing(spark: SparkSession, d: str) -> DataFrame:
     """Parents that are no product (anti-join), with how many products name them."""
-    c = _current(spark, d)
+    c = _current(spark, d, "parent_id")
     named = c.where("parent_id IS NOT NULL").groupBy("parent_id").agg(F.count(F.lit(1)).alias("n_products"))
     return named.join(c.select(F.col("product_id").alias("parent_id")), "parent_id", "left_anti")
 
 
 def product_roots(spark: SparkSession, d: str) -> DataFrame:
     """The end of every product's chain of parents, and its length."""
-    a = graphs.ancestors(_current(spark, d).select(F.col("product_id").alias("node"), F.col("parent_id").alias("parent")))
+    a = graphs.ancestors(_current(spark, d, "parent_id").select(F.col("product_id").alias("node"), F.col("parent_id").alias("parent")))
     return a.select(F.col("node").alias("product_id"), "root", "hops", "in_cycle")
 
 
 def product_closure(spark: SparkSession, d: str) -> DataFrame:
-    """All descendants of the parents of one company's products (vertiv), with their depth, as its SQL has it; ``product_closure_all`` takes every company."""
-    c = _current(spark, d)
-    edges = c.select(F.col("parent_id").alias("parent"), F.col("product_id").alias("child"))
-    seeds = c.where("parent_id IS NOT NULL AND product_id LIKE 'vertiv-%'").select(F.col("parent_id").alias("node"))
-    return graphs.closure(edges, seeds)
-
-
-def product_closure_all(spark: SparkSession, d: str) -> DataFrame:
-    """All descendants of every product that is a parent, of all companies, with their depth."""
-    edges = _current(spark, d).select(F.col("parent_id").alias("parent"), F.col("product_id").alias("child"))
+    """All descendants of every product that is a parent, with their depth."""
+    edges = _current(spark, d, "parent_id").select(F.col("parent_id").alias("parent"), F.col("product_id").alias("child"))
     return graphs.closure(edges, edges.select(F.col("parent").alias("node")))
 
 
 def product_by_category(spark: SparkSession, d: str) -> DataFrame:
     """Inverted index from category to products: counts."""
-    return _current(spark, d).select(F.explode(F.array_distinct("categories")).alias("category"), "product_id").groupBy("category").agg(F.count(F.lit(1)).alias("n_products"))
+    return _current(spark, d, "categories").select(F.explode(F.array_distinct("categories")).alias("category"), "product_id").groupBy("category").agg(F.count(F.lit(1)).alias("n_products"))
 
 
 def _cells(spark: SparkSession, d: str) -> DataFrame:
-    return cells.explode_cells(_current(spark, d), ["product_id"], F.col("tables"))
+    return cells.explode_cells(_current(spark, d, "tables"), ["product_id"], F.col("tables"))
 
 
 def spec_cells(spark: SparkSession, d: str) -> DataFrame:
@@ -98,7 +91,7 @@ def spec_labels(spark: SparkSession, d: str) -> DataFrame:
 
 def spec_coverage(spark: SparkSession, d: str) -> DataFrame:
     """Products with and without tables per kind of host, two denominators: all products and those with a table."""
-    c = _current(spark, d).select(F.regexp_extract("product_id", "^([a-z]+)-", 1).alias("company_id"), F.size(F.coalesce("tables", F.array())).alias("n"))
+    c = _current(spark, d, "tables").select(F.regexp_extract("product_id", "^([a-z]+)-", 1).alias("company_id"), F.size(F.coalesce("tables", F.array())).alias("n"))
     return c.groupBy("company_id").agg(F.count(F.lit(1)).alias("n_products"), F.count_if(F.col("n") > 0).alias("n_with_tables"), F.sum("n").alias("n_tables"))
 
 
@@ -140,14 +133,14 @@ def row_children(spark: SparkSession, d: str) -> DataFrame:
 
 def identity_names(spark: SparkSession, d: str) -> DataFrame:
     """Product names that are equal as identities."""
-    c = _current(spark, d).select("name", text.identity_name(F.col("name")).alias("identity"))
+    c = _current(spark, d, "name").select("name", text.identity_name(F.col("name")).alias("identity"))
     return c.groupBy("identity").agg(F.count(F.lit(1)).alias("n_products"), F.min("name").alias("name"))
 
 
 def brand_prefix(spark: SparkSession, d: str) -> DataFrame:
     """Owner of the longest brand that starts a product's name."""
     rules = spark.createDataFrame(BRANDS, "alias string, owner string")
-    m = matching.longest_prefix(_current(spark, d).select("product_id", "name"), F.col("name"), rules)
+    m = matching.longest_prefix(_current(spark, d, "name").select("product_id", "name"), F.col("name"), rules)
     return m.select("product_id", "alias", F.array_join("owners", ",").alias("owners"))
 
 
@@ -159,7 +152,7 @@ def brand_mentions(spark: SparkSession, d: str) -> DataFrame:
 
 def subset_names(spark: SparkSession, d: str) -> DataFrame:
     """Per part name, the product of fewest words that holds all its words; part names stand for evidence headings."""
-    c = _current(spark, d).select("product_id", text.document_words(F.col("name")).alias("words"))
+    c = _current(spark, d, "name").select("product_id", text.document_words(F.col("name")).alias("words"))
     left = c.select(F.col("product_id").alias("evidence_id"), F.slice("words", F.lit(1), F.greatest(F.size("words") - 1, F.lit(1))).alias("some"))
     return matching.subset_match(left, "evidence_id", "some", c, "product_id", "words")
 
@@ -167,14 +160,14 @@ def subset_names(spark: SparkSession, d: str) -> DataFrame:
 def quotes_in_documents(spark: SparkSession, d: str) -> DataFrame:
     """Whether a document's text holds the current name of its product."""
     docs = table(spark, d, "documents").where("product_id IS NOT NULL").select("doc_id", "product_id")
-    names = _current(spark, d).select("product_id", "name")
+    names = _current(spark, d, "name").select("product_id", "name")
     quotes = docs.join(names, "product_id")
     return matching.quotes_found(quotes, table(spark, d, "documents"), ["doc_id"], "name", "text").select("doc_id", "product_id", "found")
 
 
 def products_tiered(spark: SparkSession, d: str) -> DataFrame:
     """Products matched to documents by id, else by name in the title line, ambiguity kept apart."""
-    c = _current(spark, d).select("product_id", "name")
+    c = _current(spark, d, "name").select("product_id", "name")
     docs = table(spark, d, "documents").where("text IS NOT NULL")
     by_id = docs.where("product_id IS NOT NULL").select("product_id", "doc_id")
     titled = docs.select(F.split_part("text", F.lit("\n"), F.lit(1)).alias("name"), "doc_id")
@@ -269,7 +262,7 @@ def hosts_by_company(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        product_current, product_conflicts, product_stale, product_stable_since, product_parents_missing, product_roots, product_closure, product_closure_all, product_by_category, spec_cells, spec_labels,
+        product_current, product_conflicts, product_stale, product_stable_since, product_parents_missing, product_roots, product_closure, product_by_category, spec_cells, spec_labels,
         spec_coverage, mapping_cells, mapping_fields, comparison_models, row_children, identity_names, brand_prefix, brand_mentions, subset_names, quotes_in_documents, products_tiered,
         products_merged, duplicate_rows, rejected_rows, receipts_by_environment, packages_without_receipt, receipts_altered, receipt_items, receipt_environment_sets, package_items,
         primary_evidence, titles_clean, breadcrumb_levels, hosts_by_company,
@@ -302,9 +295,7 @@ ORACLE = {
     "product_parents_missing": _CUR + "SELECT parent_id, count(*) AS n_products FROM c WHERE parent_id IS NOT NULL AND parent_id NOT IN (SELECT product_id FROM c) GROUP BY 1",
     "product_roots": _CUR.replace("WITH", "WITH RECURSIVE", 1) + """, w AS (SELECT product_id, product_id AS up, 0::bigint AS hops FROM c UNION ALL SELECT w.product_id, c.parent_id, w.hops + 1 FROM w JOIN c ON c.product_id = w.up WHERE c.parent_id IS NOT NULL AND w.hops < 60)
   SELECT product_id, arg_max(up, hops) AS root, max(hops) AS hops, false AS in_cycle FROM w GROUP BY 1""",
-    "product_closure": _CUR.replace("WITH", "WITH RECURSIVE", 1) + """, w AS (SELECT DISTINCT parent_id AS seed, parent_id AS node, 0 AS depth FROM c WHERE parent_id IS NOT NULL AND product_id LIKE 'vertiv-%' UNION ALL SELECT w.seed, c.product_id, w.depth + 1 FROM w JOIN c ON c.parent_id = w.node WHERE w.depth < 60)
-  SELECT seed, node, min(depth) AS depth FROM w GROUP BY 1, 2""",
-    "product_closure_all": _CUR.replace("WITH", "WITH RECURSIVE", 1) + """, w AS (SELECT DISTINCT parent_id AS seed, parent_id AS node, 0 AS depth FROM c WHERE parent_id IS NOT NULL UNION SELECT w.seed, c.product_id, w.depth + 1 FROM w JOIN c ON c.parent_id = w.node)
+    "product_closure": _CUR.replace("WITH", "WITH RECURSIVE", 1) + """, w AS (SELECT DISTINCT parent_id AS seed, parent_id AS node, 0 AS depth FROM c WHERE parent_id IS NOT NULL UNION SELECT w.seed, c.product_id, w.depth + 1 FROM w JOIN c ON c.parent_id = w.node)
   SELECT seed, node, min(depth) AS depth FROM w GROUP BY 1, 2""",
     "product_by_category": _CUR + "SELECT category, count(*) AS n_products FROM (SELECT DISTINCT product_id, unnest(CAST(payload -> '$.categories' AS VARCHAR[])) AS category FROM c) GROUP BY 1",
     "spec_cells": _CELLS + "SELECT product_id, table_index, section, row_index, cell_index, text FROM cells",

@@ -112,17 +112,20 @@ def sitemap_roles_by_url(spark: SparkSession, d: str) -> DataFrame:
 def inventory_changes(spark: SparkSession, d: str) -> DataFrame:
     """Status of every sitemap URL between the first and the last run."""
     runs = table(spark, d, "map_runs").select(F.col("id").alias("run_id"), instant(F.col("observed_at")).alias("at"))
-    edge = runs.agg(F.min_by("run_id", "at").alias("first"), F.max_by("run_id", "at").alias("last"))
-    rows = table(spark, d, "product_sitemap_urls").select("url", "run_id", "state").distinct().crossJoin(F.broadcast(edge))
-    known, found = (rows.where(F.col("run_id") == F.col(c)).groupBy("url").agg(F.max("state").alias("state")) for c in ("first", "last"))
+    edge = runs.agg(F.min_by("run_id", "at").alias("first"), F.max_by("run_id", "at").alias("last")).first()  # two ids, which reach the scans as literals
+    rows = table(spark, d, "product_sitemap_urls")
+    known, found = (rows.where(F.col("run_id") == run).groupBy("url").agg(F.max("state").alias("state")) for run in edge)
     return matching.reconcile(known, found, "url", "state", complete=True)
 
 
 def inventory_incomplete(spark: SparkSession, d: str) -> DataFrame:
     """The same against an incomplete run, which shows no absence: counts per status."""
-    changes = inventory_changes(spark, d)
-    status = F.when(F.col("status") == "missing", "not_observed").otherwise(F.col("status"))
-    return changes.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n_urls"))
+    runs = table(spark, d, "map_runs").select(F.col("id").alias("run_id"), instant(F.col("observed_at")).alias("at"))
+    edge = runs.agg(F.min_by("run_id", "at").alias("first"), F.max_by("run_id", "at").alias("last")).first()
+    rows = table(spark, d, "product_sitemap_urls")
+    known, found = (rows.where(F.col("run_id") == run).groupBy("url").agg(F.max("state").alias("state")) for run in edge)
+    changes = matching.reconcile(known, found, "url", "state", complete=False)
+    return changes.groupBy("status").agg(F.count(F.lit(1)).alias("n_urls"))
 
 
 def candidates_seen(spark: SparkSession, d: str) -> DataFrame:

@@ -92,7 +92,7 @@ def test_closure_of_long_chain(spark):
 
 def test_product_closure_of_all_companies(spark, sf_dir):
     children = defaultdict(set)
-    for x in catalog._current(spark, sf_dir).where("parent_id IS NOT NULL").collect():
+    for x in catalog._current(spark, sf_dir, "parent_id").where("parent_id IS NOT NULL").collect():
         children[x.parent_id].add(x.product_id)
     want = {}
     for seed in children:
@@ -100,7 +100,7 @@ def test_product_closure_of_all_companies(spark, sf_dir):
         while level:
             want |= {(seed, n): depth for n in level}
             level, depth = {k for n in level for k in children.get(n, ())} - {n for s, n in want if s == seed}, depth + 1
-    got = {(x.seed, x.node): x.depth for x in catalog.QUERIES["product_closure_all"](spark, sf_dir).collect()}
+    got = {(x.seed, x.node): x.depth for x in catalog.QUERIES["product_closure"](spark, sf_dir).collect()}
     assert got == want and len({s.split("-")[0] for s, _ in got}) > 1
 
 

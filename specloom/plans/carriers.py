@@ -49,6 +49,37 @@ def html_links(spark: SparkSession, d: str) -> DataFrame:
     return _parsed(spark, d).select("p_partkey", F.explode("page.links").alias("l")).select("p_partkey", "l.url", "l.label", "l.section", "l.context")
 
 
+def html_grids(spark: SparkSession, d: str) -> DataFrame:
+    """Tables that are no ``table``: a definition list, a grid of divisions, a card with a heading, rows by role; banners are not read."""
+    markup = F.format_string(
+        """<h1>%s</h1><div class="cookie-consent"><dl><dt>no</dt><dd>no</dd></dl></div><h2>Data</h2><dl><dt>Brand<dd>%s<dt>Size<dd>%s</dl>
+<div class="spec-grid"><div><b>Weight</b><span>%s kg</span></div><div><b>Power</b><span>1 W</span></div></div>
+<div class="card"><h3>Card</h3><div><i>Type</i><i>%s</i></div><div><i>Name</i><i>%s</i></div></div>
+<div role="table"><div role="row"><span role="rowheader">Key</span><span role="cell">%s</span></div></div><div class="grid"><div><p>a</p></div><div><p>b</p></div></div>""",
+        "p_name", "p_brand", "p_size", "p_size", "p_type", "p_name", "p_partkey",
+    )
+    pages = html.pages(table(spark, d, "part").select("p_partkey", markup.alias("markup"), F.lit("https://h.example/").alias("url")), "p_partkey", "markup", "url")
+    rows = pages.select("p_partkey", F.explode("page.tables").alias("t")).select("p_partkey", "t.index", "t.section", F.explode("t.rows").alias("r"))
+    return rows.select("p_partkey", F.col("index").alias("table_index"), "section", F.col("r")[0]["text"].alias("label"), F.col("r")[1]["text"].alias("value"))
+
+
+def html_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Forms of pages with the hidden fields that they would send."""
+    markup = F.format_string('<form action="../find?x=%s" method="POST"><input type=hidden name=part value="%s"><input name=q value=z></form><form><input type="hidden" name="b"></form>', "p_partkey", "p_name")
+    pages = html.pages(table(spark, d, "part").select("p_partkey", markup.alias("markup"), F.lit("https://h.example/a/b").alias("url")), "p_partkey", "markup", "url")
+    forms = pages.select("p_partkey", F.posexplode("page.forms").alias("place", "f"))
+    return forms.select("p_partkey", "place", "f.action", "f.method", F.array_join(F.array_sort(F.transform(F.map_entries("f.fields"), lambda e: F.concat_ws("=", e["key"], e["value"]))), "&").alias("fields"))
+
+
+def print_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of tables in print definitions of pages, which are read and not run."""
+    script = F.format_string(
+        "<script>var def = {content: [make('x'), {style: 'specsTable', table: {widths: [1], body: [[{text: 'Main', style: 'specsTableHeader', colSpan: 2}, {text: ''}], // heads\n"
+        "[{text: 'Brand'}, {text: '%s &amp; co'}], [{text: 'Size // cm'}, {text: '%s\\''}],]}}]};</script>", "p_brand", "p_size",
+    )
+    return table(spark, d, "part").select("p_partkey", F.posexplode(records.printed_rows(script)).alias("place", "row")).select("p_partkey", "place", F.array_join("row", "|").alias("cells"))
+
+
 def html_flat_links(spark: SparkSession, d: str) -> DataFrame:
     return _pages(spark, d).select("p_partkey", F.explode(html.flat_links(F.col("markup"))).alias("href"))
 
@@ -220,7 +251,7 @@ def inventory_not_observed(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        html_fields, html_spec_rows, html_links, html_flat_links, sitemap_entries, sitemap_scan, robots_verdicts, api_rows, csv_cells, byte_kinds, gzip_texts, component_values,
+        html_fields, html_spec_rows, html_links, html_grids, html_forms, print_rows, html_flat_links, sitemap_entries, sitemap_scan, robots_verdicts, api_rows, csv_cells, byte_kinds, gzip_texts, component_values,
         script_values, layout_cells, layout_records, documents_exported, blobs_damaged, package_altered, manifest_sums, inventory_not_observed,
     )
 }
@@ -237,6 +268,12 @@ ORACLE = {
   UNION ALL SELECT p_partkey, 'https://h.example/' || p_type, p_type, '', 'site_navigation' FROM part
   UNION ALL SELECT p_partkey, 'https://h.example/docs/' || p_partkey || '.pdf', 'Sheet of ' || p_name, 'Specifications', 'page_body' FROM part
   UNION ALL SELECT p_partkey, 'https://view.example/' || p_partkey, '', 'Specifications', 'page_body' FROM part""",
+    "html_grids": """SELECT p_partkey, CAST(CASE i WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 2 WHEN 4 THEN 3 WHEN 5 THEN 3 ELSE 4 END AS INT) AS table_index, CASE WHEN i IN (4, 5) THEN 'Card' WHEN i = 6 THEN 'Data / Card' ELSE p_name || ' / Data' END AS section,
+  ['Brand', 'Size', 'Weight', 'Power', 'Type', 'Name', 'Key'][i + 1] AS label, [p_brand, CAST(p_size AS VARCHAR), p_size || ' kg', '1 W', p_type, p_name, CAST(p_partkey AS VARCHAR)][i + 1] AS value
+  FROM part, (SELECT unnest(range(7)) AS i)""",
+    "html_forms": """SELECT p_partkey, 0 AS place, 'https://h.example/find?x=' || p_partkey AS action, 'post' AS method, 'part=' || p_name AS fields FROM part
+  UNION ALL SELECT p_partkey, 1, 'https://h.example/a/b', 'get', 'b=' FROM part""",
+    "print_rows": """SELECT p_partkey, CAST(i AS INT) AS place, CASE i WHEN 0 THEN 'Main' WHEN 1 THEN 'Brand|' || p_brand || ' & co' ELSE 'Size // cm|' || p_size || chr(39) END AS cells FROM part, (SELECT unnest(range(3)) AS i)""",
     "html_flat_links": "SELECT p_partkey, unnest(['/', '/' || p_type, '../docs/' || p_partkey || '.pdf']) AS href FROM part",
     "sitemap_entries": "SELECT run_id, 'urlset' AS kind, NULL AS problem, trim(url) AS loc, CASE WHEN trim(lastmod) <> '' THEN trim(lastmod) END AS lastmod FROM (SELECT DISTINCT run_id, url, lastmod FROM product_sitemap_urls WHERE url IS NOT NULL)",
     "sitemap_scan": "SELECT run_id, count(DISTINCT url) AS n_locs FROM product_sitemap_urls WHERE url IS NOT NULL GROUP BY 1",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import gzip
+import html
 import io
 import json
 import re
@@ -366,6 +367,57 @@ def script_literal(text: str):
     return json.loads("".join(out))
 
 
+def _bracketed(text: str, at: int) -> str | None:
+    """The bracketed literal that starts at a place, strings in it aside; null if it is not closed."""
+    depth, quote, i = 0, "", at
+    while i < len(text):
+        c = text[i]
+        if quote:
+            if c == "\\":
+                i += 1
+            elif c == quote:
+                quote = ""
+        elif c in "'\"":
+            quote = c
+        elif c in "[{":
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+            if not depth:
+                return text[at : i + 1]
+        i += 1
+    return None
+
+
+def print_rows(script: str, style: str = "specsTable") -> list[list[dict]]:
+    """Rows of the table that a page's print definition draws in a style, read as a literal: cells ``text, header, colspan, rowspan``.
+
+    The table is the first ``body: [...]`` after the style. Cells without text that span nothing are left out; what is no literal gives no rows.
+    """
+    styled = re.search(rf"style\s*:\s*['\"]{re.escape(style)}['\"]", script)
+    body = re.search(r"\bbody\s*:\s*\[", script[styled.end() :]) if styled else None
+    literal = _bracketed(script, styled.end() + body.end() - 1) if body else None
+    if literal is None:
+        return []
+    try:
+        # Line comments go, unless they are in a string.
+        plain = re.sub(r"('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|//[^\n]*", lambda m: m[1] or "", literal)
+        data = script_literal(re.sub(r",(\s*[\]}])", r"\1", plain))
+    except (ValueError, RecursionError):
+        return []
+    rows = []
+    for line in data:
+        cells = [c if isinstance(c, dict) else {"text": c} for c in (line if isinstance(line, list) else [])]
+        kept = [
+            {"text": " ".join(html.unescape(str(c.get("text") or "")).split()), "header": "eader" in str(c.get("style", "")) or "ection" in str(c.get("style", "")), "colspan": int(c.get("colSpan") or 1), "rowspan": int(c.get("rowSpan") or 1)}
+            for c in cells
+        ]
+        kept = [c for c in kept if c["text"] or c["colspan"] > 1]
+        if any(c["text"] for c in kept):
+            rows.append(kept)
+    return rows
+
+
 def parsed_literals(script: str) -> list:
     """Values of ``JSON.parse('...')`` calls in a script; what is no JSON is left out."""
     out = []

@@ -20,21 +20,32 @@ BLOCKS = frozenset("address article aside blockquote br dd div dl dt fieldset fi
 CHROME = frozenset("script style nav footer form noscript template iframe".split())
 CLOSED_BY = {"li": {"li"}, "p": BLOCKS, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 HEADINGS = ("h1", "h2", "h3", "h4")
+# Words in the class or id of an element, and roles, that mark it as a frame of the site, not content.
+_FRAME_WORDS = re.compile(r"cookie|consent|gdpr|mega-?menu|main-navigation|subnav|site-(?:header|footer|nav)", re.IGNORECASE)
+_FRAME_ROLES = frozenset(("banner", "navigation", "contentinfo", "dialog"))
+# Words in the class of an element whose children may be the rows of a table.
+_GRID_WORDS = re.compile(r"spec|grid|table|param|attribut|card", re.IGNORECASE)
 
 CELL = "struct<text:string,header:boolean,colspan:int,rowspan:int>"
 PAGE = (
     "struct<title:string,heading:string,canonical:string,text:string,breadcrumbs:array<string>,"
     "links:array<struct<url:string,label:string,section:string,context:string>>,"
-    f"tables:array<struct<index:int,section:string,notes:string,is_specification:boolean,rows:array<array<{CELL}>>>>>"
+    f"tables:array<struct<index:int,section:string,notes:string,is_specification:boolean,rows:array<array<{CELL}>>>>,"
+    "forms:array<struct<action:string,method:string,fields:map<string,string>>>>"
 )
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "frame")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
+        names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+        self.frame = attrs.get("role", "") in _FRAME_ROLES or bool(_FRAME_WORDS.search(names))
+
+    def elements(self) -> list[Node]:
+        return [c for c in self.children if isinstance(c, Node)]
 
     def walk(self):
         """All elements below, in order, without recursion: pages may be deeply nested."""
@@ -51,7 +62,7 @@ class Node:
             item = stack.pop()
             if isinstance(item, str):
                 out.append(item)
-            elif item is self or item.tag not in skip:
+            elif item is self or (item.tag not in skip and not item.frame):
                 opening, closing = {"sup": ("^{", "}"), "sub": ("_{", "}")}.get(item.tag, (" ", " ") if item.tag in BLOCKS else ("", ""))
                 stack.append(closing)
                 stack.extend(reversed(item.children))
@@ -122,6 +133,31 @@ def table_rows(table: Node) -> list[list[dict]]:
     return rows
 
 
+def grid_rows(node: Node) -> list[list[dict]]:
+    """Rows of a table that is no ``table``: definition lists, elements with the roles of a table, and grids or cards of equally long rows; else none."""
+    cell = lambda c, header=False: {"text": c.text(), "header": header, "colspan": span(c.attrs.get("aria-colspan")), "rowspan": span(c.attrs.get("aria-rowspan"))}
+    if node.tag == "dl":
+        rows: list[list[dict]] = []
+        for c in node.walk():
+            if c.tag == "dt" and _nearest(c, "dl") is node:
+                rows.append([cell(c, True)])
+            elif c.tag == "dd" and rows and _nearest(c, "dl") is node:
+                rows[-1].append(cell(c))
+        return [r for r in rows if len(r) > 1 and any(c["text"] for c in r)]
+    if node.attrs.get("role") in ("table", "grid"):
+        lines = [r for r in node.walk() if r.attrs.get("role") == "row"]
+        rows = [[cell(c, c.attrs.get("role") in ("columnheader", "rowheader")) for c in r.elements() if c.attrs.get("role", "") in ("cell", "gridcell", "columnheader", "rowheader")] for r in lines]
+        return [r for r in rows if any(c["text"] for c in r)]
+    if node.tag not in ("div", "section", "ul") or not _GRID_WORDS.search(node.attrs.get("class", "")):
+        return []
+    lines = [c for c in node.elements() if c.tag not in HEADINGS]
+    width = {len(r.elements()) for r in lines}
+    bare = all(not any(isinstance(x, str) and x.strip() for x in r.children) and not any(x.tag in ("table", "div", "ul", "a", "p") for c in r.elements() for x in c.elements()) for r in lines)
+    if len(lines) < 2 or len(width) != 1 or width == {0} or width == {1} or not bare:
+        return []
+    return [[cell(c) for c in r.elements()] for r in lines if any(c.text() for c in r.elements())]
+
+
 def _nearest(node: Node, tag: str) -> Node | None:
     node = node.parent
     while node and node.tag != tag:
@@ -129,9 +165,10 @@ def _nearest(node: Node, tag: str) -> Node | None:
     return node
 
 
-def _inside(node: Node, tags: frozenset[str]) -> bool:
+def _inside(node: Node, tags: frozenset[str], frames: bool = False) -> bool:
+    """Whether a node is, or is in, one of the elements; with ``frames`` also in what frames the site."""
     while node:
-        if node.tag in tags:
+        if node.tag in tags or (frames and node.frame):
             return True
         node = node.parent
     return False
@@ -146,7 +183,7 @@ def _tables(root: Node) -> list[dict]:
     trail: dict[int, str] = {}
     last: dict | None = None
     for node in root.walk():
-        if _inside(node, CHROME):
+        if _inside(node, CHROME, frames=True):
             continue
         if node.tag in HEADINGS:
             level = int(node.tag[1])
@@ -154,10 +191,17 @@ def _tables(root: Node) -> list[dict]:
             last = None
         elif node.tag == "p" and last is not None and not _inside(node, frozenset({"table"})):
             last["notes"] = " ".join(filter(None, (last["notes"], node.text())))
-        elif node.tag == "table":
-            rows = table_rows(node)
+        elif node.tag == "table" or node.tag in ("dl", "div", "section", "ul"):
+            rows = table_rows(node) if node.tag == "table" else grid_rows(node)
             if not rows:
                 continue
+            if node.tag != "table":
+                # A card's own heading comes after the card in the walk.
+                title = next((c.text() for c in node.elements() if c.tag in HEADINGS), "")
+                section = title or " / ".join(trail[k] for k in sorted(trail)[-2:])
+                labels = {w for r in rows for w in re.findall(r"[a-z]+", r[0]["text"].lower())}
+                out.append({"index": len(out) + 1, "section": section, "notes": "", "is_specification": bool(_SPEC_WORDS.search(section)) or len(labels & _SPEC_LABELS) >= 2, "rows": rows})
+                continue
             caption = next((c.text() for c in node.walk() if c.tag == "caption" and _nearest(c, "table") is node), "")
             own = ""
             head = rows[0]
@@ -178,7 +222,7 @@ def parse_page(markup: str | None, url: str | None = None) -> dict | None:
     root = parse_tree(markup)
     title = next((n.text() for n in root.walk() if n.tag == "title"), "")
     heading = next((n.text() for n in root.walk() if n.tag == "h1"), "")
-    canonical, crumbs, links, section = "", [], [], ""
+    canonical, crumbs, links, section, forms = "", [], [], "", []
     for node in root.walk():
         if node.tag == "link" and "canonical" in node.attrs.get("rel", "").lower():
             canonical = urljoin(url or "", node.attrs.get("href", ""))
@@ -186,11 +230,15 @@ def parse_page(markup: str | None, url: str | None = None) -> dict | None:
             section = node.text()
         elif node.tag in ("nav", "ol", "ul", "div") and "breadcrumb" in (node.attrs.get("class", "") + node.attrs.get("aria-label", "")).lower() and not crumbs:
             crumbs = [t for t in (c.text() for c in node.walk() if c.tag in ("a", "li", "span") and not any(isinstance(x, Node) and x.tag in ("a", "li", "span") for x in c.children)) if t]
-        href = node.attrs.get("href") if node.tag == "a" else node.attrs.get("data-href") or (node.attrs.get("src") if node.tag == "iframe" else None)
+        if node.tag == "form":
+            # Only hidden fields are what the page itself would send.
+            fields = {c.attrs["name"]: c.attrs.get("value", "") for c in node.walk() if c.tag == "input" and c.attrs.get("name") and c.attrs.get("type", "").lower() == "hidden"}
+            forms.append({"action": urljoin(url or "", node.attrs.get("action", "")), "method": (node.attrs.get("method") or "get").lower(), "fields": fields})
+        href = node.attrs.get("href") if node.tag == "a" else node.attrs.get("data-href") or node.attrs.get("data-url") or (node.attrs.get("src") if node.tag == "iframe" else None)
         if href and not href.lower().startswith(("javascript:", "mailto:", "tel:", "#")):
-            context = "site_navigation" if _inside(node, frozenset({"nav", "header", "footer"})) else "page_body"
+            context = "site_navigation" if _inside(node, frozenset({"nav", "header", "footer"}), frames=True) else "page_body"
             links.append({"url": urldefrag(urljoin(url or "", href.strip()))[0], "label": node.text(), "section": section, "context": context})
-    return {"title": title, "heading": heading, "canonical": canonical, "text": root.text(CHROME | {"head"}), "breadcrumbs": crumbs, "links": links, "tables": _tables(root)}
+    return {"title": title, "heading": heading, "canonical": canonical, "text": root.text(CHROME | {"head"}), "breadcrumbs": crumbs, "links": links, "tables": _tables(root), "forms": forms}
 
 
 def pages(df: DataFrame, key: str, markup: str, url: str) -> DataFrame:

@@ -93,3 +93,8 @@ def kind_of(content: Column, url: Column) -> Column:
         return pd.Series([documents.document_kind(bytes(b) if b is not None else None, u or "") for b, u in zip(bodies, urls)], dtype=object)
 
     return run.asNondeterministic()(content, url)
+
+
+def printed_rows(script: Column, style: str = "specsTable") -> Column:
+    """Rows of texts of the table that a page's print definition draws."""
+    return _over(lambda t: [[c["text"] for c in r] for r in documents.print_rows(t, style)], "array<array<string>>", script)

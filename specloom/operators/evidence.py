@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from specloom.operators.sequences import parted, running
+
 
 def coalescing_join(df: DataFrame, first: str, second: str, entries: DataFrame, key: str, value: str) -> DataFrame:
     """``df`` with ``value`` of the entry under ``first``, else under ``second``; entries are unique by ``key``."""
@@ -30,13 +32,13 @@ def spend_budget(df: DataFrame, group: Sequence[str], order: Sequence[str], want
     """``granted`` per row in order: at most ``cap`` of what it wants, while the budget of the group lasts.
 
     As every grant is the smaller of want and cap until the budget ends, what is left before a row is the budget less the sum of
-    the earlier wishes, so a running sum replaces the fold.
+    the earlier wishes, so a running sum, made in parts, replaces the fold.
     """
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     asked = F.least(want, F.lit(cap))
-    wishes = df.withColumn("__asked", asked)
-    left = F.greatest(F.lit(budget) - F.coalesce(F.sum("__asked").over(w), F.lit(0)), F.lit(0))
-    return wishes.withColumn("granted", F.least(F.col("__asked"), left)).drop("__asked")
+    wishes = running(parted(df.withColumn("__asked", asked), group, order), group, order, "__so_far", F.col("__asked"))
+    earlier = F.col("__so_far") - F.coalesce("__asked", F.lit(0))
+    left = F.greatest(F.lit(budget) - earlier, F.lit(0))
+    return wishes.withColumn("granted", F.least(F.col("__asked"), left)).drop("__asked", "__so_far", "__part")
 
 
 def pattern_fields(df: DataFrame, text: str, patterns: Sequence[tuple[str, str]]) -> DataFrame:

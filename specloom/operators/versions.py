@@ -7,18 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from specloom.operators.sequences import before, parted, running
+
 
 def version_chain(observations: DataFrame, key: Sequence[str], content: str, at: str) -> DataFrame:
     """Distinct contents per key in order of first sight: ``first_at, version_no, relation, supersedes``.
 
-    Ties go by the content. Observations are reduced to first sights before any window, so the window holds contents.
+    Ties go by the content. Observations are reduced to first sights first, and numbered in parts.
     """
     first = observations.where(F.col(content).isNotNull()).groupBy(*key, content).agg(F.min(at).alias("first_at"))
-    w = Window.partitionBy(*key).orderBy(F.col("first_at").asc_nulls_last(), content)
-    before = F.lag(content).over(w)
-    return first.select(
-        *key, content, "first_at", F.row_number().over(w).alias("version_no"), F.when(before.isNull(), "original").otherwise("new_version").alias("relation"), before.alias("supersedes")
-    )
+    # Contents without a time come last.
+    order = ["__untimed", "first_at", content]
+    rows = parted(first.withColumn("__untimed", F.col("first_at").isNull()), key, order)
+    rows = running(before(rows, key, order, "__before", F.col(content)), key, order, "version_no", F.lit(1))
+    earlier = F.col("__before.value")
+    return rows.select(*key, content, "first_at", F.col("version_no").cast("int").alias("version_no"), F.when(earlier.isNull(), "original").otherwise("new_version").alias("relation"), earlier.alias("supersedes"))
 
 
 #: Length of a time slice in microseconds: the unit of parallel work within one key.

@@ -61,3 +61,31 @@ def test_states_of_failures(spark):
     df = spark.createDataFrame([(404, "x", 0), (None, "login wall", 0), (503, "x", 2), (200, None, 0), (None, None, 0), (500, None, 9)], "s int, e string, n int")
     got = df.select(urls.failure_state(F.col("s"), F.col("e"), ["login"]), urls.retry_at(F.col("s"), F.col("e"), F.col("n"), F.lit(0).cast("long"), ["reset"])).collect()
     assert [tuple(r) for r in got] == [("gone", None), ("unavailable", None), ("failed", 240_000_000), (None, None), (None, None), ("failed", None)]
+
+
+def test_running_values_in_parts(spark):
+    """A group with nearly all rows over many parts, null groups and ties, against plain loops."""
+    from specloom.operators import sequences
+
+    r = random.Random(7)
+    rows = [("hot" if r.random() < 0.8 else r.choice(["a", None]), i // 2, i, r.choice("xxyr")) for i in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "g string, at int, id int, kind string")
+        got = {x.id: x.n for x in sequences.since_reset(df, ["g"], ["at", "id"], F.col("kind") == "x", F.col("kind") == "r", "n").collect()}
+        seen, want = {}, {}
+        for g, _, i, k in rows:
+            seen[g] = 0 if k == "r" else seen.get(g, 0) + (k == "x")
+            want[i] = seen[g]
+        assert got == want
+        series, last = {}, {}
+        for g, at, _, k in rows:
+            if last.get(g) != k:
+                last[g] = k
+                series.setdefault(g, []).append([k, 0, at, at])
+            series[g][-1][1] += 1
+            series[g][-1][3] = at
+        got = sorted(((x.g, x.run_no, x.value, x.n_rows, x.first_at, x.last_at) for x in sequences.runs(df, ["g"], ["at", "id"], F.col("kind")).collect()), key=repr)
+        assert got == sorted(((g, n, *s) for g, runs in series.items() for n, s in enumerate(runs, 1)), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

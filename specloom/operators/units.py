@@ -3,8 +3,9 @@
 Each cell's first figure or range is read from its text, its unit is looked for beside the figure, then in the
 condition, then in the unit column, and the value is converted to the common unit of its kind of quantity. Where no
 place names a unit, the unit is inferred: per field, a mixture over the logarithm of the values is fitted in which every
-candidate unit is a copy of the field's distribution, shifted by the unit's known conversion factor. The posterior of
-the best unit is kept and cells below ``CERTAIN`` are flagged.
+candidate unit is a copy of the field's distribution, shifted by the unit's known conversion factor. The values that other cells of the same
+product and field state are further, narrow components: as often as cells of a product restate each other, a bare figure is one of them in some unit.
+The posterior of the best unit is kept and cells below ``CERTAIN`` are flagged.
 
 Reading a cell is Python (one Arrow batch at a time); counting, fitting input and matching are relational. The fit sees a
 histogram per field, whose size the bins bound, never the cells.
@@ -305,19 +306,23 @@ def _axis(dimension: str, value: np.ndarray) -> np.ndarray:
     return value if dimension == "temperature" else np.log10(value)
 
 
-def fit_units(histogram: pd.DataFrame) -> pd.DataFrame:
-    """Units of one field's cells without a unit, by bin: ``field, bin, unit, posterior``.
+_MASSES = "field string, bin long, unit string, prior double, mass double"
+
+
+def unit_masses(histogram: pd.DataFrame) -> pd.DataFrame:
+    """How likely one field's figures without a unit have each unit, by bin: ``field, bin, unit, prior, mass``.
 
     ``histogram`` has ``field, dimension, known, bin, n``: bins of values in the common unit where ``known``, of bare figures otherwise.
     The density of the common values is a Gaussian mixture; a bare figure comes from a unit (with a weight to be fitted) and
     then from that density at the figure converted by the unit. Known and bare figures are fitted together by expectation
-    maximisation. A field without known values gives no rows: nothing says which unit its figures have.
+    maximisation. ``prior`` is the unit's weight, ``mass`` the probability of the unit and of a value that agrees with the converted figure. A field without known values
+    gives no rows: nothing says which unit its figures have.
     """
     dimension, field = histogram["dimension"].iloc[0], histogram["field"].iloc[0]
     width = _DEGREE_BIN if dimension == "temperature" else _BIN
     known, bare = histogram[histogram["known"]], histogram[~histogram["known"]]
     if known.empty or bare.empty:
-        return pd.DataFrame({"field": [], "bin": [], "unit": [], "posterior": []})
+        return pd.DataFrame({"field": [], "bin": [], "unit": [], "prior": [], "mass": []})
     x, n = known["bin"].to_numpy() * width, known["n"].to_numpy(float)
     y, m = bare["bin"].to_numpy() * width, bare["n"].to_numpy(float)
     units = list(UNITS[dimension])
@@ -348,10 +353,57 @@ def fit_units(histogram: pd.DataFrame) -> pd.DataFrame:
         var = ((a * (x[:, None] - mu) ** 2).sum(0) + (b * (z[..., None] - mu) ** 2).sum((0, 1))) / total
         sd, weight = np.sqrt(np.maximum(var, (2 * width) ** 2)), total / total.sum()
         prior = (b.sum((1, 2)) + 0.5) / (m.sum() + 0.5 * len(units))
-    post = density(z).sum(-1) * (prior * stretch)[:, None] * ok
-    post = post / post.sum(0)
-    best = post.argmax(0)
-    return pd.DataFrame({"field": field, "bin": bare["bin"].to_numpy(), "unit": [units[i] for i in best], "posterior": post.max(0)})
+    same = 2 * (SAME_DEGREES if dimension == "temperature" else np.log10(1 + SAME_SHARE))
+    mass = np.minimum(density(z).sum(-1) * same, 1.0) * (prior * stretch)[:, None] * ok
+    n_bins = len(bare)
+    return pd.DataFrame({
+        "field": field, "bin": np.tile(bare["bin"].to_numpy(), len(units)), "unit": np.repeat(units, n_bins), "prior": np.repeat(prior * stretch, n_bins) * ok.ravel(), "mass": mass.ravel(),
+    })
+
+
+def _converted(column: str):
+    """A column in the common unit of ``dimension``, from ``unit``; as it is where the unit is null."""
+    factor, offset = (
+        F.element_at(F.create_map(*[F.lit(v) for d, us in UNITS.items() for u, spec in us.items() for v in (f"{d}:{u}", float(spec[i]))]), F.concat_ws(":", "dimension", "unit"))
+        for i in (1, 2)
+    )
+    return F.when(F.col("unit").isNotNull(), (F.col(column) + offset) * factor).otherwise(F.col(column))
+
+
+def _value_bin(column: str):
+    """Bin of a value as wide as the difference within which two values state the same; sign and zero apart."""
+    size = F.round(F.log10(F.abs(column)) / float(np.log10(1 + SAME_SHARE)))
+    return F.when(F.col("dimension") == "temperature", F.round(F.col(column) / SAME_DEGREES)).when(F.col(column) > 0, size).cast("long")
+
+
+def infer_units(read: DataFrame) -> DataFrame:
+    """Cells without a unit, with the most likely one: ``map_id, product, field, dimension, low, high, unit, posterior``, values as stated and null unit where nothing says.
+
+    ``read`` has ``map_id, product, field, dimension, low, high, unit, bin``, with values in the common unit where a unit is known. A figure has each unit with the mass of the field's mixture; and, with the share
+    of a field's cells that restate another cell of their product, with the prior of a unit that turns it into one of the product's known values.
+    """
+    bare_fields = read.where("unit IS NULL").select("field").distinct()
+    histogram = (
+        read.where("bin IS NOT NULL").join(bare_fields, "field", "left_semi")
+        .groupBy("field", "dimension", F.col("unit").isNotNull().alias("known"), "bin").agg(F.count(F.lit(1)).alias("n"))
+    )
+    masses = cut(histogram.groupBy("field").applyInPandas(unit_masses, _MASSES))
+    known = read.where("unit IS NOT NULL AND product IS NOT NULL").join(bare_fields, "field", "left_semi")
+    values = cut(known.withColumn("value_bin", _value_bin("low")).where("value_bin IS NOT NULL").groupBy("product", "field", "value_bin").agg(F.count(F.lit(1)).alias("n")))
+    of_product = values.groupBy("product", "field").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_cells"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("n_restated"))
+    # With two imagined cells, one of which restates, so that a field of few cells is not certain of either.
+    restated = of_product.where("n_cells > 1").groupBy("field").agg(((F.sum("n_restated") + 1) / (F.sum("n_cells") + 2)).alias("restated"))
+    bare = cut(read.where("unit IS NULL").drop("unit").withColumn("cell", F.monotonically_increasing_id()))
+    tried = bare.select("cell", "product", "field", "dimension", "low", "bin").join(masses, ["field", "bin"]).where("prior > 0")
+    tried = tried.withColumn("common", _converted("low")).withColumn("value_bin", _value_bin("common"))
+    near = tried.select("cell", "unit", "product", "field", F.explode(F.array(F.col("value_bin") - 1, F.col("value_bin"), F.col("value_bin") + 1)).alias("value_bin")).where("value_bin IS NOT NULL")
+    hits = near.join(values.select("product", "field", "value_bin"), ["product", "field", "value_bin"]).groupBy("cell", "unit").agg(F.lit(True).alias("hit"))
+    told = tried.join(hits, ["cell", "unit"], "left").join(of_product.select("product", "field", "n_values"), ["product", "field"], "left").join(restated, "field", "left")
+    share = F.when(F.col("n_values") > 0, F.coalesce("restated", F.lit(0.5))).otherwise(0.0)
+    weight = (1 - share) * F.col("mass") + F.when(F.col("hit"), share * F.col("prior") / F.col("n_values")).otherwise(0.0)
+    best = told.withColumn("weight", weight).groupBy("cell").agg(F.max(F.struct("weight", "unit")).alias("best"), F.sum("weight").alias("total"))
+    best = best.select("cell", "best.unit", F.when(F.col("total") > 0, F.col("best.weight") / F.col("total")).otherwise(0.0).alias("posterior"))
+    return bare.join(best, "cell", "left").select("map_id", "product", "field", "dimension", "low", "high", "unit", "posterior")
 
 
 def quantities(cells: DataFrame) -> DataFrame:
@@ -372,23 +424,13 @@ def quantities(cells: DataFrame) -> DataFrame:
     positive = F.col("low") > 0
     axis = F.when(F.col("dimension") == "temperature", F.round(F.col("low") / _DEGREE_BIN)).when(positive, F.round(F.log10("low") / _BIN))
     read = cut(read.withColumn("bin", axis.cast("long")))
-    bare_fields = read.where("unit IS NULL").select("field").distinct()
-    histogram = (
-        read.where("bin IS NOT NULL").join(bare_fields, "field", "left_semi")
-        .groupBy("field", "dimension", F.col("unit").isNotNull().alias("known"), "bin").agg(F.count(F.lit(1)).alias("n"))
-    )
-    fitted = histogram.groupBy("field").applyInPandas(fit_units, "field string, bin long, unit string, posterior double")
     stated = read.where("unit IS NOT NULL").select(
         "map_id", "product", "field", "dimension", "low", "high", "unit", "unit_source", F.lit(None).cast("double").alias("posterior"), F.lit(False).alias("uncertain")
     )
-    bare = read.where("unit IS NULL").drop("unit", "unit_source").join(fitted, ["field", "bin"], "left")
-    factor, offset = (
-        F.element_at(F.create_map(*[F.lit(v) for d, us in UNITS.items() for u, spec in us.items() for v in (f"{d}:{u}", float(spec[i]))]), F.concat_ws(":", "dimension", "unit"))
-        for i in (1, 2)
-    )
-    convert = lambda c: F.when(F.col("unit").isNotNull(), (F.col(c) + offset) * factor).otherwise(F.col(c)).alias(c)
-    inferred = bare.select(
-        "map_id", "product", "field", "dimension", convert("low"), convert("high"), "unit", F.when(F.col("unit").isNotNull(), "inferred").alias("unit_source"),
+    if read.where("unit IS NULL").isEmpty():
+        return stated
+    inferred = infer_units(read.drop("unit_source")).select(
+        "map_id", "product", "field", "dimension", _converted("low").alias("low"), _converted("high").alias("high"), "unit", F.when(F.col("unit").isNotNull(), "inferred").alias("unit_source"),
         "posterior", (F.coalesce("posterior", F.lit(0.0)) < CERTAIN).alias("uncertain"),
     )
     return stated.unionByName(inferred)

@@ -56,3 +56,17 @@ def test_instants_compare_as_sets(spark):
     )
     a, b, *rest = (r[0] for r in df.select(instant_set(F.col("x"))).collect())
     assert a == b != "" and rest == ["", "", ""]
+
+
+def test_rows_over_many_ranges(spark):
+    """One row repeated so often that it fills several ranges, and a key in nearly all rows: what crosses ranges is joined up."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        runs = [(f"r{i}", i) for i in range(8)]
+        rows = [("r3", "hot", "s1")] * 3000 + [("r3", "hot", "s0")] * 1000 + [("r4", "hot", "s0")] * 1500 + [(f"r{i}", "hot", "s0") for i in (0, 1, 6)] + [(f"r{i}", k, "s") for i in (0, 2, 5) for k in ("a", "z")]
+        s = spark.createDataFrame(rows, "run_id string, record_key string, state string").repartition(7)
+        r = spark.createDataFrame(runs, "run_id string, n long").select("run_id", F.timestamp_seconds("n").alias("at"))
+        got = [tuple(x) for x in snapshot_changes(s, r).collect()]
+        assert len(got) == len(set(got)) and set(got) == brute(rows, runs)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

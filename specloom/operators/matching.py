@@ -7,36 +7,53 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from specloom.session import cut
+
 #: Rules up to which a rule table is broadcast; beyond, it is joined by shuffle.
 MAX_RULES = 100_000
 
 
-def small(rules: DataFrame) -> DataFrame:
-    """A rule table, marked for broadcast where its checked size allows."""
-    return F.broadcast(rules) if rules.limit(MAX_RULES + 1).count() <= MAX_RULES else rules
+#: Lengths of aliases that are looked up one by one.
+MAX_LENGTHS = 40
+
+
+def is_small(rules: DataFrame) -> bool:
+    """Whether a rule table has at most ``MAX_RULES`` rows."""
+    return rules.limit(MAX_RULES + 1).count() <= MAX_RULES
 
 
 def longest_prefix(df: DataFrame, text: Column, rules: DataFrame) -> DataFrame:
     """Rows with ``alias, owners`` of the longest aliases that start the text (sorted owners, as several may share it); null where none does.
 
     ``rules`` has ``alias, owner``. An alias counts after leading blanks, without regard to case, and if no ASCII letter or digit follows. Instead of
-    comparing every row with every rule, the prefixes of distinct texts are looked up, of the lengths that aliases have; a text then knows its alias, and
-    the rows get theirs by their text.
+    comparing every row with every rule, the text's prefixes of the lengths that aliases have are looked up: each length in its own broadcast table, without a shuffle; rules that are
+    no vocabulary by size or lengths are joined with the distinct texts' prefixes, and the rows get theirs by their text.
     """
     r = rules.select(F.lower("alias").alias("alias"), "owner").where("alias <> ''").distinct()
     grouped = r.groupBy("alias").agg(F.array_sort(F.collect_set("owner")).alias("owners"))
     lengths = [x.n for x in r.select(F.length("alias").alias("n")).distinct().orderBy("n").collect()]  # as many as aliases have lengths
     start = F.lower(F.ltrim(text))
-    keyed = df.withColumn("__start", F.when(start != "", F.substring(start, 1, lengths[-1] + 1) if lengths else None))
+    prefix = lambda c, n: F.when((F.length(c) >= n) & ~F.substring(c, n + 1, 1).rlike("[a-z0-9]"), F.substring(c, 1, n))
+    none = {"alias": F.lit(None).cast("string"), "owners": F.lit(None).cast("array<string>")}
+    if not lengths:
+        return df.withColumns(none)
+    if len(lengths) <= MAX_LENGTHS and is_small(r):
+        out = df.withColumn("__start", start)
+        for n in lengths:
+            of_length = grouped.where(F.length("alias") == n).select(F.col("alias").alias("__alias"), F.struct("alias", "owners").alias(f"__m{n}"))
+            out = out.join(F.broadcast(of_length), prefix(F.col("__start"), n) == F.col("__alias"), "left").drop("__alias")
+        best = F.coalesce(*(F.col(f"__m{n}") for n in reversed(lengths)))
+        return out.withColumn("__m", best).select(*df.columns, "__m.alias", "__m.owners")
+    keyed = cut(df.withColumn("__start", F.when(start != "", F.substring(start, 1, lengths[-1] + 1))))
     starts = keyed.select("__start").where("__start IS NOT NULL").distinct()
-    cuts = F.array(*(F.when((F.length("__start") >= n) & ~F.substring("__start", n + 1, 1).rlike("[a-z0-9]"), F.substring("__start", 1, n)) for n in lengths)) if lengths else F.array().cast("array<string>")
-    hit = starts.withColumn("alias", F.explode(F.filter(cuts, lambda c: c.isNotNull()))).join(small(grouped), "alias")
-    best = hit.groupBy("__start").agg(F.max_by(F.struct("alias", "owners"), F.length("alias")).alias("__m"))
+    cuts = F.array(*(prefix(F.col("__start"), n) for n in lengths))
+    hit = starts.withColumn("alias", F.explode(F.filter(cuts, lambda c: c.isNotNull()))).join(grouped, "alias")
+    best = cut(hit.groupBy("__start").agg(F.max_by(F.struct("alias", "owners"), F.length("alias")).alias("__m")))
     # Only texts that some alias starts are joined; the others, and blank ones, would be one group of nulls.
     found = keyed.join(best, "__start").select(*df.columns, "__m.alias", "__m.owners")
-    known = best.select("__start")
-    rest = keyed.where("__start IS NULL").drop("__start").unionByName(keyed.where("__start IS NOT NULL").join(known, "__start", "left_anti").drop("__start"))
-    return found.unionByName(rest.withColumns({"alias": F.lit(None).cast("string"), "owners": F.lit(None).cast("array<string>")}))
+    blank = keyed.where("__start IS NULL").drop("__start")
+    rest = blank.unionByName(keyed.where("__start IS NOT NULL").join(best.select("__start"), "__start", "left_anti").drop("__start"))
+    return found.unionByName(rest.withColumns(none))
 
 
 def consumed_aliases(text: Column, aliases: Sequence[tuple[str, str]]) -> Column:

@@ -89,3 +89,16 @@ def test_running_values_in_parts(spark):
         assert got == sorted(((g, n, *s) for g, runs in series.items() for n, s in enumerate(runs, 1)), key=repr)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_longest_prefix_of_few_and_of_many_rules(spark, monkeypatch):
+    from specloom.operators import matching
+
+    rules = spark.createDataFrame([("Ab", "x"), ("ab c", "y"), ("AB C", "z"), ("", "n"), (None, "n")], "alias string, owner string")
+    texts = [" AB C d", "abc", "ab", "ab c", "", None, "zz", "ab  c"] + [None] * 20
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    want = [("ab c", ["y", "z"]), (None, None), ("ab", ["x"]), ("ab c", ["y", "z"]), (None, None), (None, None), (None, None), ("ab", ["x"])] + [(None, None)] * 20
+    for most in (100_000, 1):
+        monkeypatch.setattr(matching, "MAX_RULES", most)
+        assert [(r.alias, r.owners) for r in matching.longest_prefix(df, F.col("t"), rules).orderBy("i").collect()] == want
+    assert matching.longest_prefix(df, F.col("t"), rules.limit(0)).count() == len(texts)

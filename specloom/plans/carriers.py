@@ -275,7 +275,7 @@ ORACLE = {
   UNION ALL SELECT p_partkey, 1, 'https://h.example/a/b', 'get', 'b=' FROM part""",
     "print_rows": """SELECT p_partkey, CAST(i AS INT) AS place, CASE i WHEN 0 THEN 'Main' WHEN 1 THEN 'Brand|' || p_brand || ' & co' ELSE 'Size // cm|' || p_size || chr(39) END AS cells FROM part, (SELECT unnest(range(3)) AS i)""",
     "html_flat_links": "SELECT p_partkey, unnest(['/', '/' || p_type, '../docs/' || p_partkey || '.pdf']) AS href FROM part",
-    "sitemap_entries": "SELECT run_id, 'urlset' AS kind, NULL AS problem, trim(url) AS loc, CASE WHEN trim(lastmod) <> '' THEN trim(lastmod) END AS lastmod FROM (SELECT DISTINCT run_id, url, lastmod FROM product_sitemap_urls WHERE url IS NOT NULL)",
+    "sitemap_entries": "SELECT run_id, 'urlset' AS kind, NULL::varchar AS problem, trim(url) AS loc, CASE WHEN trim(lastmod) <> '' THEN trim(lastmod) END AS lastmod FROM (SELECT DISTINCT run_id, url, lastmod FROM product_sitemap_urls WHERE url IS NOT NULL)",
     "sitemap_scan": "SELECT run_id, count(DISTINCT url) AS n_locs FROM product_sitemap_urls WHERE url IS NOT NULL GROUP BY 1",
     "robots_verdicts": f"SELECT url, CASE WHEN regexp_matches(path, '^/products/storage/.*-manual$') THEN true WHEN regexp_matches(path, '^/.*/storage/') THEN false ELSE true END AS allowed FROM {_URLS}",
     "api_rows": """SELECT n_name, '/n/' || n_nationkey AS path, 'get' AS method, 'Read ' || n_name AS summary, 'r' || n_regionkey AS tags FROM nation

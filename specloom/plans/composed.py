@@ -18,7 +18,7 @@ def _catalog(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFra
     """Current rows, history and batch: each product's latest observation before and since the day."""
     v = table(spark, d, "product_versions").where("payload IS NOT NULL AND version IS NOT NULL")
     rows = v.select("product_id", F.lower(F.trim("version")).alias("version"), instant_micros(F.col("observed_at")).alias("at"), F.get_json_object("payload", "$.parent_id").alias("parent_id"), "payload", "imported_at")
-    before = F.col("imported_at") < F.lit(BATCH_SINCE).cast("timestamp")
+    before = F.col("imported_at") < F.lit(f"{BATCH_SINCE}T00:00:00Z").cast("timestamp")
     latest = lambda df: versions.current_rows(df.drop("imported_at"), ["product_id"], [F.col("at"), F.col("version")])
     return latest(rows.where(before)), rows.where(before).select("product_id", "version"), latest(rows.where(~before))
 
@@ -118,7 +118,7 @@ QUERIES = {
     )
 }
 
-_CATALOG = f"""WITH v AS (SELECT product_id, lower(trim(version)) AS version, epoch_us(observed_at::timestamptz) AS tick, payload ->> '$.parent_id' AS parent_id, payload, imported_at < TIMESTAMP '{BATCH_SINCE}' AS early
+_CATALOG = f"""WITH v AS (SELECT product_id, lower(trim(version)) AS version, epoch_us(observed_at::timestamptz) AS tick, payload ->> '$.parent_id' AS parent_id, payload, imported_at::timestamptz < TIMESTAMPTZ '{BATCH_SINCE} 00:00:00+00' AS early
   FROM product_versions WHERE payload IS NOT NULL AND version IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY product_id, early ORDER BY tick DESC, version DESC) AS n FROM v),
 c AS (SELECT * FROM r WHERE early AND n = 1), b AS (SELECT * FROM r WHERE NOT early AND n = 1),
